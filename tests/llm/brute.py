@@ -49,3 +49,18 @@ def rules(text: str | None) -> dict:
         "n_repeat_words": len(hit),
         "base_failed": len(words) < 10 or 100 * len(hit) > 20 * len(words),
     }
+
+
+def decontaminate(text: str | None, items: list[tuple[int, str]], window: int = 10) -> dict:
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = word.findall(lower(text or ""))
+    hit, ids = set(), set()
+    for item, said in items:
+        own = word.findall(lower(said))
+        for i in range(max(1, len(own) - window + 1) if own else 0):
+            part = own[i : i + window]
+            for k in range(len(words) - len(part) + 1):
+                if words[k : k + len(part)] == part:
+                    hit.update(range(k, k + len(part)))
+                    ids.add(str(item))
+    return {"n_words": len(words), "n_hit": len(hit), "n_items": len(ids), "items_sha256": sha(",".join(sorted(ids)))}
