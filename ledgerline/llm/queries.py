@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, packing, quality_rules, secrets, token_counts
+from . import chat_format, decontaminate, near_dedup, packing, quality_rules, secrets, token_counts
 
 CONTROL_PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -138,6 +138,16 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.groups(docs, size=4, percent=80).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("text")
     lengths = token_counts.token_lengths(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -171,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
+    "op5_near_dedup": op5_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,

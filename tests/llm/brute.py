@@ -64,3 +64,42 @@ def decontaminate(text: str | None, items: list[tuple[int, str]], window: int =
                     hit.update(range(k, k + len(part)))
                     ids.add(str(item))
     return {"n_words": len(words), "n_hit": len(hit), "n_items": len(ids), "items_sha256": sha(",".join(sorted(ids)))}
+
+
+def shingles(text: str | None, size: int) -> frozenset:
+    words = split_words(lower(text or ""))
+    n = min(size, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset()
+
+
+def components(docs: list[tuple[int, str | None]], size: int, percent: int) -> dict[int, int]:
+    """doc_id -> smallest doc_id reachable; ids are unique here."""
+    sets: dict[frozenset, list[int]] = {}
+    for i, text in docs:
+        sets.setdefault(shingles(text, size), []).append(i)
+    parent = {i: i for i, _ in docs}
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def link(a: int, b: int) -> None:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+
+    kinds = [(s, ids) for s, ids in sets.items() if s]
+    for _, ids in kinds:
+        for i in ids[1:]:
+            link(ids[0], i)
+    where: dict[tuple, list[int]] = {}
+    for k, (s, _) in enumerate(kinds):
+        for x in s:
+            where.setdefault(x, []).append(k)
+    for k, (s, ids) in enumerate(kinds):
+        shared = Counter(j for x in s for j in where[x] if j > k)
+        for j, n in shared.items():
+            if 100 * n >= percent * (len(s) + len(kinds[j][0]) - n):
+                link(ids[0], kinds[j][1][0])
+    return {i: root(i) for i, _ in docs}
