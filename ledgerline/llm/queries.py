@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, near_dedup, packing, quality_rules, secrets, token_counts
+from . import (
+    chat_format,
+    decontaminate,
+    lm_score,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    token_counts,
+    toxicity,
+)
 
 CONTROL_PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -138,6 +149,12 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_classifier.resample(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.groups(docs, size=4, percent=80).select(
@@ -177,13 +194,32 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~toxicity.learns(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_near_dedup": op5_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
+    "op10_lm_score": op10_lm_score,
 }
 ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL}

@@ -103,3 +103,18 @@ def components(docs: list[tuple[int, str | None]], size: int, percent: int) -> d
             if 100 * n >= percent * (len(s) + len(kinds[j][0]) - n):
                 link(ids[0], kinds[j][1][0])
     return {i: root(i) for i, _ in docs}
+
+
+def base_scores(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, int, float]]:
+    """doc_id -> n_tokens, n_known, train_tokens, base_score."""
+    import math
+    import zlib
+
+    end = ("",)
+    tokens = {i: [*split_words(lower(t or "")), end] for i, t in docs}
+    train = Counter(w for i, _ in docs if zlib.crc32(str(i).encode()) % 7 != 2 for w in tokens[i])
+    n, v = sum(train.values()), len(train)
+    return {
+        i: (len(ws), sum(train[w] > 0 for w in ws), n, sum(math.log10((train[w] + 1) / (n + v + 1)) for w in ws))
+        for i, ws in tokens.items()
+    }
