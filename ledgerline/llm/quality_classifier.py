@@ -132,25 +132,40 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float | None:
     return values.filter(v.between(low, high)).orderBy(v.desc()).limit(k).collect()[-1][column]
 
 
-def resample(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFrame:
-    """doc_id, text_hash, log_weight, gumbel_key, kept: a row for each row of docs."""
-    ratios = fit(docs, labels)
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+def _keyed(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """docs with _log_weight and _gumbel_key."""
     unit = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = weigh(rows, ratios).drop("text").withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(unit)))
-    keyed = materialise(keyed, "importance")
-    good = materialise(keyed.join(good_ids(labels), "doc_id", "left_semi").select("log_weight"), "good-weights")
-    least = kth_largest(good, "log_weight", int(np.ceil(good.count() * (1 - loss))))
-    cut = None
-    if least is not None:
-        cut = kth_largest(keyed.select("gumbel_key"), "gumbel_key", keyed.filter(F.col("log_weight") >= least).count())
-    return keyed.withColumn("kept", F.col("gumbel_key") >= cut if cut is not None else F.lit(True))
+    return weigh(docs, ratios, "_log_weight").withColumn("_gumbel_key", F.col("_log_weight") - F.log(-F.log(unit)))
 
 
-def select(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFrame:
-    """The rows of docs that are kept."""
-    judged = resample(docs, labels, loss).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+def _cut(keyed: DataFrame, labels: DataFrame, loss: float) -> float | None:
+    """The k-th largest key; None: all are kept.  keyed: doc_id, _log_weight, _gumbel_key."""
+    good = materialise(keyed.join(good_ids(labels), "doc_id", "left_semi").select("_log_weight"), "good-weights")
+    least = kth_largest(good, "_log_weight", int(np.ceil(good.count() * (1 - loss))))
+    if least is None:
+        return None
+    return kth_largest(keyed.select("_gumbel_key"), "_gumbel_key", keyed.filter(F.col("_log_weight") >= least).count())
+
+
+def resample(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFrame:
+    """doc_id, log_weight, gumbel_key, kept: a row for each row of docs."""
+    keyed = materialise(_keyed(docs.select("doc_id", "text"), fit(docs, labels)).drop("text"), "importance")
+    cut = _cut(keyed, labels, loss)
+    kept = F.col("_gumbel_key") >= cut if cut is not None else F.lit(True)
+    return keyed.select(
+        "doc_id", F.col("_log_weight").alias("log_weight"), F.col("_gumbel_key").alias("gumbel_key"), kept.alias("kept")
     )
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
-    return docs.join(judged.distinct(), on, "left_semi").select(*docs.columns)
+
+
+def select(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFrame:
+    """The rows of docs that are kept.
+
+    The texts are weighed twice, once for the cutoff and once to be filtered where
+    they are: that moves no text, a join with the kept ids would move all.
+    """
+    ratios = fit(docs, labels)
+    keyed = materialise(_keyed(docs.select("doc_id", "text"), ratios).drop("text"), "importance")
+    cut = _cut(keyed, labels, loss)
+    if cut is None:
+        return docs
+    return _keyed(docs, ratios).filter(F.col("_gumbel_key") >= cut).select(*docs.columns)
