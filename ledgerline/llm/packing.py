@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_rows import add_columns, text_bytes
+from .arrow_rows import add_columns
 from .scratch import materialise
 from .tokens import WordIds, coder
 
@@ -57,12 +57,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         own = coder(WordIds, tokenizer_path)
         for batch in batches:
             row, piece, ids = [], [], []
-            for i, data in enumerate(text_bytes(batch.column(1))):
-                all_ids = (own.ids(data) if data else b"") + end
-                for n, at in enumerate(range(0, len(all_ids), step)):
+            found, at = own.ids(batch.column(1))
+            for i in range(len(batch)):
+                all_ids = found[at[i] : at[i + 1]].tobytes() + end
+                for n, cut in enumerate(range(0, len(all_ids), step)):
                     row.append(i)
                     piece.append(n)
-                    ids.append(all_ids[at : at + step])
+                    ids.append(all_ids[cut : cut + step])
             piece_ = pa.array(piece, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [

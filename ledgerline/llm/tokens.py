@@ -12,6 +12,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 ROOM = 300_000
 #: Characters with the Unicode property White_Space.
@@ -33,27 +35,89 @@ def coder(kind: type, path: str):
     return _open[kind, path]
 
 
+#: With A-Z lowered: a-z, U+00C0-U+00FF without its two signs, U+0100-U+017F without U+0130, which is lowered to two characters.
+_LETTER = r"a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}"
+_SIGN = r"!-/:-@\[-`{-~"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters in which byte-level vocabularies write bytes: printable ones as they are, the rest from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
 class WordIds:
-    """Ids (little-endian unsigned 32-bit) of a tokenizer that drops white space: the pieces are ASCII-spaced words."""
+    """Ids of a lower-casing BPE tokenizer that drops white space and marks the ends of words.
 
-    def __init__(self, path: str):
-        self.tokenizer, self.seen = _tokenizer(path), {}
+    The unit is a word between ASCII white space, taken once for a batch.  A
+    word of Latin letters, ASCII digits and signs is cut into parts as the
+    tokenizer itself cuts it, and only parts not seen before go through its
+    merges.  Any other word, and one that might hold a special token, is a part
+    marked with a leading NUL and goes through the whole tokenizer as it is.
+    """
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.seen) > ROOM:
-            self.seen.clear()
-        new = [w for w in set(words) if w not in self.seen]
-        if new:
-            encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            self.seen.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded, strict=True))
+    PLAIN = f"^[{_LETTER}0-9{_SIGN}]+$"
+    PART = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[{_SIGN}]+)"
 
-    def ids(self, data: bytes) -> bytes:
-        words = data.split()
-        try:
-            return b"".join([self.seen[w] for w in words])
-        except KeyError:
-            self.learn(words)
-            return b"".join([self.seen[w] for w in words])
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = _tokenizer(path)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+        vocabulary = self.merges.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.written = _byte_letters()
+        self.seen: dict[str, bytes] = {"": b""}
+
+    def _learn(self, parts: list[str]) -> None:
+        odd = [p for p in parts if p[0] == "\0"]
+        plain = [p for p in parts if p[0] != "\0"]
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            said = [p if p.isascii() else p.lower().encode().decode("latin-1").translate(self.written) for p in some]
+            ids = np.array(self.merges.encode_batch_fast(["\n".join(said)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(some):
+                raise ValueError("the vocabulary doesn't mark the ends of words")
+            data, begin = ids.tobytes(), 0
+            for p, stop in zip(some, (4 * stops).tolist(), strict=True):
+                self.seen[p] = data[begin:stop]
+                begin = stop
+        found = self.tokenizer.encode_batch_fast([p[1:] for p in odd], add_special_tokens=False)
+        self.seen.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(odd, found, strict=True))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin and the last one's end."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        raw = coded.dictionary
+        low = pc.ascii_lower(raw)
+        plain = pc.and_not(pc.match_substring_regex(low, self.PLAIN), pc.match_substring(raw, "<|"))
+        plain = pc.or_(plain, pc.equal(raw, ""))
+        cut = pc.ascii_rtrim_whitespace(pc.replace_substring_regex(low, self.PART, r"\1 "))
+        parts = pc.ascii_split_whitespace(pc.if_else(plain, cut, pc.binary_join_element_wise("\0", raw, "")))
+        part = parts.flatten().dictionary_encode()
+        distinct = part.dictionary.to_pylist()
+        if len(self.seen) > 2 * ROOM:
+            self.seen = {"": b""}
+        self._learn([p for p in distinct if p not in self.seen])
+        said = [self.seen[p] for p in distinct]
+        pool = np.frombuffer(b"".join(said), "<u4")
+        of_word, word_at = _gathered(pool, np.fromiter(map(len, said), np.int64, len(said)) // 4, part, parts)
+        return _gathered(of_word, np.diff(word_at), coded, words)
+
+
+def _gathered(pool: np.ndarray, length: np.ndarray, coded: pa.DictionaryArray, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For lists of codes: the pool's stretches of all codes in a row, and where each list's begin."""
+    code = coded.indices.to_numpy()
+    begin, size = np.cumsum(length) - length, length[code]
+    ends = np.concatenate(([0], np.cumsum(size)))
+    found = pool[np.arange(ends[-1]) + np.repeat(begin[code] - ends[:-1], size)]
+    at = lists.offsets.to_numpy()
+    return found, ends[at - at[0]]
 
 
 class SpacedCounts:
