@@ -1,0 +1 @@
+"""Spark-native analytics for following public money."""
