@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, null kept."""
     if pa.types.is_large_string(column.type):
@@ -16,6 +26,17 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``most`` bytes of text, or one row: what is built beside them stays small."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
+        at = 0
+        while at < len(batch):
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def add_columns(
     docs: DataFrame, fields: list[T.StructField], work: Callable[[pa.RecordBatch], list[pa.Array]]
 ) -> DataFrame:

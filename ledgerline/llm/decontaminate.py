@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_rows import add_columns, text_bytes
+from .arrow_rows import add_columns, fresh, text_bytes
 from .scratch import materialise
 
 WINDOW = 10
@@ -177,5 +177,5 @@ def _united(data: bytes, spans: list[dict]) -> tuple[int, list[dict]]:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a hit, with their own columns."""
-    name = "decontamination_result"
+    name = fresh(docs, "decontamination")
     return scan(docs, benchmark, window, name).filter(F.col(f"{name}.n_hit") == 0).select(*docs.columns)

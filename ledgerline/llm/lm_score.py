@@ -62,7 +62,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def rows(counts: Counter, held: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [_strings(list(counts)), pa.array(list(counts.values()), pa.int64()), pa.array([held] * len(counts))],
+            [_strings(list(counts)), pa.array(list(counts.values()), pa.int64()), pa.array([held] * len(counts), pa.bool_())],
             schema.fieldNames(),
         )
 

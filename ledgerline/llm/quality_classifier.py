@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_rows import add_columns
+from .arrow_rows import add_columns, fresh
 from .scratch import materialise
 
 TARGET_ROWS, BUCKETS, LOSS, SEED = 20_000, 1 << 15, 0.002, 17
@@ -132,10 +132,10 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float | None:
     return values.filter(v.between(low, high)).orderBy(v.desc()).limit(k).collect()[-1][column]
 
 
-def _keyed(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """docs with _log_weight and _gumbel_key."""
+def _keyed(docs: DataFrame, ratios: np.ndarray, weight: str = "_log_weight", key: str = "_gumbel_key") -> DataFrame:
+    """docs with the log weight and the Gumbel key."""
     unit = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return weigh(docs, ratios, "_log_weight").withColumn("_gumbel_key", F.col("_log_weight") - F.log(-F.log(unit)))
+    return weigh(docs, ratios, weight).withColumn(key, F.col(weight) - F.log(-F.log(unit)))
 
 
 def _cut(keyed: DataFrame, labels: DataFrame, loss: float) -> float | None:
@@ -168,4 +168,5 @@ def select(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFrame:
     cut = _cut(keyed, labels, loss)
     if cut is None:
         return docs
-    return _keyed(docs, ratios).filter(F.col("_gumbel_key") >= cut).select(*docs.columns)
+    key = fresh(docs, "_gumbel_key")
+    return _keyed(docs, ratios, fresh(docs, "_log_weight"), key).filter(F.col(key) >= cut).select(*docs.columns)

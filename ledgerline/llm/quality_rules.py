@@ -133,8 +133,8 @@ def certified_cutoffs(
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """docs without text, plus the metrics, base_failed, failed_rules (array) and kept."""
-    metrics = materialise(rule_metrics(docs).drop("text"), "rule-metrics")
+    """doc_id, the stratum, the metrics, base_failed, failed_rules (array) and kept; other columns are ignored."""
+    metrics = materialise(rule_metrics(docs.select("doc_id", "text", stratum)).drop("text"), "rule-metrics")
     cuts = certified_cutoffs(metrics, labels, stratum)
     joined = metrics.join(cuts, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
     failed = F.filter(

@@ -140,9 +140,10 @@ def redact(docs: DataFrame, scope: int = SCOPE, mask: str = "[SECRET]") -> DataF
     carry their text along with the first of their candidates.
     """
     columns = docs.columns
-    found = _keyed(docs).withColumn("candidates", _candidates(F.col("body")))
-    clean = found.filter(F.size("candidates") == 0).select(*columns)
-    row = found.filter(F.size("candidates") > 0).select("key", F.struct(*columns).alias("row"), "candidates")
+    rows = docs.select(F.struct(*columns).alias("row"), "doc_id", "text")  # other columns can't clash in there
+    found = _keyed(rows).withColumn("candidates", _candidates(F.col("body")))
+    clean = found.filter(F.size("candidates") == 0).select("row.*")
+    row = found.filter(F.size("candidates") > 0).select("key", "row", "candidates")
     spans = _spans(row, "row", scope)
     pieces = F.expr(
         "transform(spans, s -> IF(s.start < s.reach, '', concat(substr(row.text, s.reach + 1, s.start - s.reach), mask)))"
