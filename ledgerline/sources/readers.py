@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 import zipfile
 from collections.abc import Callable
@@ -41,10 +42,11 @@ def encoding_of(spark: SparkSession, path: str, first_bytes: int = 1 << 20) -> s
     """UTF-8 if the first bytes decode as such, else Latin-1."""
     row = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, first_bytes).alias("c")).first()
     try:
-        io.TextIOWrapper(io.BytesIO(bytes(row.c)), "utf-8").read()
+        # a character cut off where the probe ends is no error
+        codecs.getincrementaldecoder("utf-8")().decode(bytes(row.c), final=len(row.c) < first_bytes)
         return "UTF-8"
-    except UnicodeDecodeError as e:
-        return "UTF-8" if e.end >= len(row.c) - 3 else "ISO-8859-1"
+    except UnicodeDecodeError:
+        return "ISO-8859-1"
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
