@@ -88,8 +88,8 @@ def contact_normalize(spark, sf_dir):
 @query("""
 WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS dataset,
   CASE WHEN l_orderkey % 11 = 0 THEN '' ELSE l_orderkey || '-' || l_linenumber END AS award_id, round(l_extendedprice, 2) AS amount FROM lineitem),
-a AS (SELECT *, row_number() OVER (PARTITION BY dataset, award_id ORDER BY l_orderkey, l_partkey, l_suppkey) AS k FROM r),
-b AS (SELECT *, row_number() OVER (PARTITION BY award_id ORDER BY CASE dataset WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END, l_orderkey, l_partkey, l_suppkey) AS j
+a AS (SELECT *, row_number() OVER (PARTITION BY dataset, award_id ORDER BY l_orderkey, l_partkey, l_suppkey, amount) AS k FROM r),
+b AS (SELECT *, row_number() OVER (PARTITION BY award_id ORDER BY CASE dataset WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END, l_orderkey, l_partkey, l_suppkey, amount) AS j
   FROM a WHERE k = 1 OR award_id = '')
 SELECT dataset, award_id, l_orderkey, l_partkey, l_suppkey, amount FROM b WHERE j = 1 OR award_id = ''
 """)
@@ -100,7 +100,7 @@ def dedup_priority(spark, sf_dir):
         F.col("l_returnflag").alias("dataset"), award.alias("award_id"), "l_orderkey", "l_partkey", "l_suppkey", F.round("l_extendedprice", 2).alias("amount")
     )
     priority = F.when(F.col("dataset") == "A", 1).when(F.col("dataset") == "N", 2).otherwise(3)
-    return dedup.by_priority(rows, "dataset", "award_id", priority, F.struct("l_orderkey", "l_partkey", "l_suppkey"))
+    return dedup.by_priority(rows, "dataset", "award_id", priority, F.struct("l_orderkey", "l_partkey", "l_suppkey", "amount"))
 
 
 @query("""

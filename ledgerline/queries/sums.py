@@ -85,14 +85,14 @@ def pivot_flag_sum(spark, sf_dir):
 
 
 @query("""
-SELECT coalesce('brand:' || p_brand, 'type:' || p_type, 'size:' || p_size) AS bucket, count(*) AS n, round(avg(p_retailprice), 2) AS mean_price FROM part GROUP BY GROUPING SETS ((p_brand), (p_type), (p_size))
+SELECT coalesce('brand:' || p_brand, 'type:' || p_type, 'size:' || p_size) AS bucket, count(*) AS n, CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS BIGINT) AS total_cents FROM part GROUP BY GROUPING SETS ((p_brand), (p_type), (p_size))
 """)
 def coverage_matrices(spark, sf_dir):
     """Single-column groupings in one pass."""
     p = table(spark, sf_dir, "part").select("p_brand", "p_type", "p_size", "p_retailprice")
     g = p.groupingSets([[F.col("p_brand")], [F.col("p_type")], [F.col("p_size")]], "p_brand", "p_type", "p_size")
     bucket = F.coalesce(F.concat(F.lit("brand:"), "p_brand"), F.concat(F.lit("type:"), "p_type"), F.concat(F.lit("size:"), F.col("p_size").cast("string")))
-    return g.agg(F.count("*").alias("n"), F.round(F.avg("p_retailprice"), 2).alias("mean_price")).select(bucket.alias("bucket"), "n", "mean_price")
+    return g.agg(F.count("*").alias("n"), F.sum(F.round(F.col("p_retailprice") * 100).cast("long")).alias("total_cents")).select(bucket.alias("bucket"), "n", "total_cents")
 
 
 @query("""

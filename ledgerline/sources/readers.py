@@ -57,10 +57,11 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Rows, and the lines that can't be parsed."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    df = spark.read.schema(full).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    lines = spark.read.text(path)
-    broken = lines.select("value", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
-    return df.filter("_corrupt_record IS NULL").drop("_corrupt_record"), broken.filter("r._corrupt_record IS NOT NULL").select(F.col("value").alias("line"))
+    # lines are parsed here, not by the reader, which refuses to be asked about broken lines alone
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = spark.read.text(path).select("value", F.from_json("value", full, options).alias("r"))
+    fine = parsed.filter("r._corrupt_record IS NULL").select("r.*").drop("_corrupt_record")
+    return fine, parsed.filter("r._corrupt_record IS NOT NULL").select(F.col("value").alias("line"))
 
 
 def flatten(df: DataFrame, mark: str = ".") -> DataFrame:
