@@ -10,10 +10,14 @@ with probability 0.9999.
 1. Signatures: one pass over the texts; equal sets become one class.
 2. A half key that occurs once cannot pair up: only half keys that several
    classes have are combined, so lone documents never reach the tables.
-3. Each table bucket names a pivot; members are held against it.  A candidate
-   pair that shares at least ``AGREE`` half keys is confirmed on the full sets.
-   Confirmed links give components.
-4. A bucket whose members lie in several components is still open: other
+3. Shingles that no other candidate has can't be shared.  What is left of a set
+   bounds its similarity to any other, and to any member of a bucket given the
+   least size there: classes below the threshold leave, exactly and without a
+   pair being made (a heavily edited copy in a large group, a passage in common).
+4. Each bucket names as pivot the member with the largest shareable part;
+   members are held against it.  A candidate pair that shares at least ``AGREE``
+   half keys is confirmed on the full sets.  Confirmed links give components.
+5. A bucket whose members lie in several components is still open: other
    pivots follow, then all pairs of members of different components.  Pairs
    within a component are never needed, so copies are not expanded.
 
@@ -32,13 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_rows import text_bytes
+from .arrow_rows import fresh, text_bytes
 from .components import connected
 from .scratch import materialise, release
 
 ROWS, HALVES, AGREE = 3, 14, 4
 #: Pivots tried in open buckets before all pairs across components.
-PIVOTS = 6
+PIVOTS = 4
 _BITS = 1 << 23  # of the filter of documents whose sets are needed; beyond its room it only filters less
 _STORE = 500_000
 _words: dict[bytes, int] = {}
@@ -204,12 +208,44 @@ def _tables(classes: DataFrame) -> DataFrame:
     return sides.select("cid", F.explode(pairs).alias("bucket"))
 
 
+def _shareable(sets: DataFrame) -> DataFrame:
+    """cid, n, share: the size of each set, and how many of its shingles some other set has too."""
+    once = (
+        sets.select("cid", F.explode("members").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.max("cid").alias("cid"))
+        .filter("n = 1")
+    )
+    alone = once.groupBy("cid").agg(F.count("*").alias("alone"))
+    size = F.size("members").cast("long")
+    return sets.select("cid", size.alias("n")).join(alone, "cid", "left").select(
+        "cid", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("share")
+    )
+
+
+def _within_reach(tables: DataFrame, kin: DataFrame, percent: int) -> DataFrame:
+    """bucket, cid, n, share, pivot: the rows of buckets whose members may be similar to another member.
+
+    A shared part of share shingles allows, beside a set of m, at most
+    share / (n + m - share); m is no less than the least size in the bucket and
+    than percent of n.
+    """
+    rows = tables.join(kin.filter(100 * F.col("share") >= percent * F.col("n")), "cid")
+    sizes = rows.groupBy("bucket").agg(F.min("n").alias("low"), F.count("*").alias("many")).filter("many > 1")
+    rows = rows.join(sizes.select("bucket", "low"), "bucket")
+    least = F.greatest(100 * F.col("low"), percent * F.col("n"))
+    rows = rows.filter(100 * (100 + percent) * F.col("share") >= percent * (100 * F.col("n") + least)).drop("low")
+    rank = F.struct((F.col("share") / F.col("n")).alias("s"), (-F.col("cid")).alias("c"))
+    pivots = rows.groupBy("bucket").agg(F.max_by("cid", rank).alias("pivot"), F.count("*").alias("many")).filter("many > 1")
+    return rows.join(pivots.select("bucket", "pivot"), "bucket")
+
+
 def _open(tables: DataFrame, roots: DataFrame) -> DataFrame:
-    """bucket, cid, root of the buckets whose members lie in several components."""
-    named = tables.select("bucket", "cid").join(roots, F.col("cid") == F.col("node"), "left")
-    named = named.select("bucket", "cid", F.coalesce("root", "cid").alias("root"))
+    """bucket, cid, n, share, root of the buckets whose members lie in several components."""
+    named = tables.select("bucket", "cid", "n", "share").join(roots, F.col("cid") == F.col("node"), "left")
+    named = named.select("bucket", "cid", "n", "share", F.coalesce("root", "cid").alias("root"))
     state = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    return named.join(state, "bucket", "left_semi")
+    return named.join(state.select("bucket"), "bucket", "left_semi")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -225,13 +261,15 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")),
         "classes",
     )
-    raw = _tables(classes)
-    raw = materialise(raw, "tables-all")
-    stats = raw.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    tables = materialise(raw.join(stats.select("bucket", "pivot"), "bucket"), "tables")
+    raw = materialise(_tables(classes), "tables-all")
+    several = raw.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    met = materialise(raw.join(several, "bucket", "left_semi"), "tables-met")
     release(raw)
-    wanted = tables.select("cid").distinct().join(classes, "cid").select("doc_id")
+    wanted = met.select("cid").distinct().join(classes, "cid").select("doc_id")
     sets = materialise(_sets(docs, size, wanted).dropDuplicates(["cid"]), "sets")
+    kin = materialise(_shareable(sets), "shareable")
+    tables = materialise(_within_reach(met, kin, percent), "tables")
+    release(met)
 
     pairs = _pairs(tables.filter("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")))
     links = materialise(_confirmed(pairs, classes, sets, percent), "links")
@@ -240,24 +278,28 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     for turn in range(1, PIVOTS + 1):
         left = materialise(_open(left, roots), "open")
         parts = left.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-        cross = parts.groupBy("bucket").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"), F.sum("n").alias("n"))
+        cross = parts.groupBy("bucket").agg(
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"), F.sum("n").alias("n")
+        )
         pairs_left, rows_left = cross.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        last = turn == PIVOTS or pairs_left <= 2 * rows_left
         if not rows_left:
             break
+        last = turn == PIVOTS or pairs_left <= 2 * rows_left
         if last:
-            other = left.select("bucket", F.col("cid").alias("b"), F.col("root").alias("root_b"))
-            found = left.withColumnRenamed("cid", "a").join(other, "bucket").filter("root < root_b").select("a", "b")
+            one = left.select("bucket", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("share").alias("s1"), F.col("root").alias("r1"))
+            two = left.select("bucket", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("share").alias("s2"), F.col("root").alias("r2"))
+            allows = (100 + percent) * F.least("s1", "s2") >= percent * (F.col("n1") + F.col("n2"))
+            on = (one["bucket"] == two["bucket"]) & (F.col("r1") < F.col("r2")) & allows
+            found = one.join(two, on).select("a", "b")
         else:
             pivot = left.groupBy("bucket").agg(
                 F.min_by(F.struct("cid", "root"), F.xxhash64("cid", "bucket", F.lit(turn))).alias("p")
             )
             found = left.join(pivot, "bucket").filter("root <> p.root").select(F.col("cid").alias("a"), F.col("p.cid").alias("b"))
         new = materialise(_confirmed(_pairs(found), classes, sets, percent), "links")
-        if new.isEmpty() and not last:
-            continue
-        links = links.unionByName(new)
-        roots = connected(links)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            roots = connected(links)
         if last:
             break
     named = classes.select("cid", "doc_id").join(roots, F.col("cid") == F.col("node"), "left")
@@ -288,8 +330,8 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         .select("first.*")
     )
     single = found.filter("doc_id IS NOT NULL AND n_shingles = 0").select("doc_id", "text_hash").distinct()
-    keep = materialise(kept.unionByName(single).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "kept")
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    named = rows.join(keep, (F.col("doc_id") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    named = named.dropDuplicates(["doc_id", "_text_hash"])
-    return named.unionByName(rows.filter("doc_id IS NULL")).select(*docs.columns)
+    own, text_hash = fresh(docs, "_id"), fresh(docs, "_text_hash")
+    keep = materialise(kept.unionByName(single).select(F.col("doc_id").alias(own), F.col("text_hash").alias(text_hash)), "kept")
+    rows = docs.withColumns({own: F.col("doc_id"), text_hash: F.xxhash64("text")})
+    named = rows.join(keep, [own, text_hash], "left_semi").dropDuplicates([own, text_hash])
+    return named.unionByName(rows.filter(F.col("doc_id").isNull())).select(*docs.columns)
