@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_rows import text_bytes
+from .arrow_rows import slices
 from .tokens import SpacedCounts, coder
 
 BLOCK = 1024
@@ -30,9 +30,8 @@ def token_lengths(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches):
         own = coder(SpacedCounts, tokenizer_path)
-        for batch in batches:
-            texts = text_bytes(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([own.count(t.decode()) if t else 0 for t in texts], pa.int64())], ["n_tokens"])
+        for batch in slices(batches, 0):
+            yield pa.RecordBatch.from_arrays([pa.array(own.counts(batch.column(0)), pa.int64())], ["n_tokens"])
 
     return docs.select("text").mapInArrow(run, T.StructType([T.StructField("n_tokens", T.LongType())]))
 
