@@ -5,7 +5,7 @@ from __future__ import annotations
 import differential
 import pytest
 
-from ledgerline.queries import links, rows, sums, wholes  # noqa: F401
+from ledgerline.queries import links, rows, rulesets, sums, wholes  # noqa: F401
 from ledgerline.queries.registry import ORACLE_SQL, QUERIES
 
 from conftest import SMALL

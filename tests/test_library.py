@@ -188,3 +188,45 @@ def test_stream_upsert(spark, tmp_path):
     spark.createDataFrame([(2, "c")], "k int, v string").write.mode("append").parquet(folder)
     incremental.run_available(incremental.events(spark, folder, df.schema), str(tmp_path / "state"), sink)
     assert rows(spark.read.parquet(f"{out}/v=1").select("k", "v")) == [(1, "a"), (2, "c")]
+
+
+def test_cascade_place_and_waves(spark):
+    from ledgerline.operators import linkage
+
+    df = spark.createDataFrame([(1, "a", "x"), (2, "", "y"), (3, None, "q")], "r int, id string, n string")
+    t = spark.createDataFrame([("a", "x", 7), ("b", "y", 8), ("", "z", 9)], "id string, n string, v int")
+    got = rows(linkage.cascade(df, "r", [("id", t, "id", 0.9), ("name", t, "n", 0.7)], "v").select("r", F.coalesce("v", F.lit(0)), "matched_by"))
+    assert got == [(1, 7, "id"), (2, 8, "name"), (3, 0, "none")]
+    nodes = spark.createDataFrame([(i,) for i in range(5)], "node int")
+    needs = spark.createDataFrame([(1, 0), (2, 1), (2, 0), (3, 4), (4, 3)], "node int, needs int")
+    got = {r.node: r.wave for r in linkage.waves(needs, nodes).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: None, 4: None}
+
+
+def test_edges_or_reasons(spark):
+    from ledgerline.operators import edges
+
+    n = spark.createDataFrame([("n1", "A"), ("n2", "B")], "node string, name string")
+    index = edges.name_index([(n, "node", F.array("name"))])
+    r = spark.createDataFrame(
+        [("A", "funds", "B", "e", 0.9), ("A", "funds", "A", "e", 0.9), ("A", "x", "B", "e", 0.9), ("A", "funds", "C", "e", 0.9), ("A", "funds", "B", None, 0.9)],
+        "source string, verb string, target string, evidence string, confidence double",
+    )
+    good, bad = edges.build(r, index, ["funds"])
+    assert good.count() == 1 and rows(bad.select("reason")) == [("bad_verb",), ("no_evidence",), ("self_loop",), ("unresolved_target",)]
+
+
+def test_cache_is_read_through(spark, tmp_path):
+    from ledgerline.sources.cache import cached, query_hash
+
+    calls = []
+
+    def fetch():
+        calls.append(1)
+        return spark.range(3)
+
+    q = {"county": ["b", "a"], "year": 2020}
+    assert query_hash(q) == query_hash({"year": 2020, "county": ["a", "b"], "agency": None})
+    for now in (1000.0, 2000.0, 1000.0 + 90_000):
+        assert cached(spark, str(tmp_path), "s", q, "daily", fetch, now).count() == 3
+    assert len(calls) == 2
