@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_rows import add_columns
+from .arrow_rows import add_columns, slices
 from .scratch import materialise
 from .tokens import WordIds, coder
 
@@ -55,7 +55,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def run(batches):
         own = coder(WordIds, tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches, 1):
             row, piece, ids = [], [], []
             found, at = own.ids(batch.column(1))
             for i in range(len(batch)):
