@@ -17,9 +17,13 @@ with probability 0.9999.
 4. Each bucket names as pivot the member with the largest shareable part;
    members are held against it.  A candidate pair that shares at least ``AGREE``
    half keys is confirmed on the full sets.  Confirmed links give components.
-5. A bucket whose members lie in several components is still open: other
-   pivots follow, then all pairs of members of different components.  Pairs
-   within a component are never needed, so copies are not expanded.
+5. A bucket whose members lie in several components is still open.  Members
+   outside its largest component are held against all others they might be
+   similar to, found by prefix filtering: in an order that puts frequent
+   shingles last, two sets similar enough share one of the first few shingles of
+   either.  Edited copies have shingles of their own in front, so they meet
+   almost nobody.  Pairs within a component are never needed, so copies are not
+   expanded.
 
 Defined cases: text without words, or null, has no shingle and is linked with
 nothing; fewer words than a shingle make one shingle; rows that repeat get one
@@ -39,13 +43,13 @@ from pyspark.sql import types as T
 from .arrow_rows import fresh, text_bytes
 from .components import connected
 from .scratch import materialise, release
+from .stores import store
 
 ROWS, HALVES, AGREE = 3, 14, 4
-#: Pivots tried in open buckets before all pairs across components.
-PIVOTS = 4
-_BITS = 1 << 23  # of the filter of documents whose sets are needed; beyond its room it only filters less
-_STORE = 500_000
-_words: dict[bytes, int] = {}
+#: A shingle in more open sets than this comes last in the order of prefixes.
+FREQUENT = 32
+_BITS = 1 << 23  # of fixed-size filters; beyond their room they only filter less
+_STORE = 250_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -58,15 +62,16 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash of each word."""
     import xxhash
 
+    seen = store("word hashes", dict)
     try:
-        return np.array([_words[w] for w in words], np.uint64)
+        return np.array([seen[w] for w in words], np.uint64)
     except KeyError:
-        if len(_words) > _STORE:
-            _words.clear()
+        if len(seen) > _STORE:
+            seen.clear()
         for w in words:
-            if w not in _words:
-                _words[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([_words[w] for w in words], np.uint64)
+            if w not in seen:
+                seen[w] = xxhash.xxh3_64_intdigest(w)
+        return np.array([seen[w] for w in words], np.uint64)
 
 
 def shingle_set(data: bytes | None, size: int) -> np.ndarray:
@@ -140,19 +145,24 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """cid, members: the sets of the documents named in wanted (doc_id), with few others."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS))
+def _filter_bits(values: DataFrame, spot: F.Column) -> np.ndarray:
+    """A bit for each spot (0 to _BITS - 1) that occurs, packed; at most _BITS / 32768 rows of 4 KB reach the driver."""
     maps = (
-        wanted.select(spot.alias("s"))
+        values.select(spot.alias("s"))
         .groupBy(F.floor(F.col("s") / 32768).alias("part"))
         .agg(F.bitmap_construct_agg(F.col("s") % 32768).alias("bits"))
-        .collect()  # at most _BITS / 32768 rows of 4 KB
+        .collect()
     )
     table = np.zeros((_BITS // 32768, 4096), np.uint8)
     for part, bits in maps:
         table[part] = np.frombuffer(bits, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
+    return table.reshape(-1)
+
+
+def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
+    """cid, members: the sets of the documents named in wanted (doc_id), with few others."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted, spot))
 
     def run(batches):
         bits = shared.value
@@ -248,6 +258,47 @@ def _open(tables: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(state.select("bucket"), "bucket", "left_semi")
 
 
+def _prefixes(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """shingle, cid, root, outside: the first shingles of each class of open buckets.
+
+    outside: the class isn't in the largest component of some bucket.  The
+    order is a function of the shingle: frequent ones last, then by hash.
+    """
+    sizes = left.groupBy("bucket", "root").agg(F.count("*").alias("many"), F.min("n").alias("low"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max_by("root", F.struct("many", "root")).alias("largest"), F.min("low").alias("low")
+    )
+    classes = (
+        left.join(largest, "bucket")
+        .groupBy("cid")
+        .agg(F.min("root").alias("root"), F.min("n").alias("n"), F.min("low").alias("low"), F.max(F.col("root") != F.col("largest")).alias("outside"))
+    )
+    least = F.greatest(100 * F.col("low"), percent * F.col("n"))
+    need = F.ceil((percent * (100 * F.col("n") + least)) / (100 * (100 + percent)))
+    held = classes.select("cid", "root", "outside", (F.col("n") - need + 1).alias("first")).join(sets, "cid")
+    held = materialise(held, "open-sets")
+    counts = held.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    spot = F.pmod(F.col("shingle"), F.lit(_BITS))
+    shared = left.sparkSession.sparkContext.broadcast(_filter_bits(counts.filter(F.col("n") > FREQUENT), spot))
+    schema = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType(), False)), *[held.schema[c] for c in ("cid", "root", "outside")]])
+
+    def run(batches):
+        bits = shared.value
+        for batch in batches:
+            rows = []
+            for members, first in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                s = members.values.to_numpy()
+                at = s % _BITS
+                often = (bits[at >> 3] >> (at & 7)) & 1
+                rows.append(s[np.lexsort((s, often))[: max(0, first)]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.list_(pa.field("element", pa.int64(), False))), *batch.columns[2:]], schema.fieldNames()
+            )
+
+    found = held.select("members", "first", "cid", "root", "outside").mapInArrow(run, schema)
+    return found.select(F.explode("shingles").alias("shingle"), "cid", "root", "outside")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -274,34 +325,15 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     pairs = _pairs(tables.filter("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")))
     links = materialise(_confirmed(pairs, classes, sets, percent), "links")
     roots = connected(links)
-    left = tables
-    for turn in range(1, PIVOTS + 1):
-        left = materialise(_open(left, roots), "open")
-        parts = left.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-        cross = parts.groupBy("bucket").agg(
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"), F.sum("n").alias("n")
-        )
-        pairs_left, rows_left = cross.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not rows_left:
-            break
-        last = turn == PIVOTS or pairs_left <= 2 * rows_left
-        if last:
-            one = left.select("bucket", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("share").alias("s1"), F.col("root").alias("r1"))
-            two = left.select("bucket", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("share").alias("s2"), F.col("root").alias("r2"))
-            allows = (100 + percent) * F.least("s1", "s2") >= percent * (F.col("n1") + F.col("n2"))
-            on = (one["bucket"] == two["bucket"]) & (F.col("r1") < F.col("r2")) & allows
-            found = one.join(two, on).select("a", "b")
-        else:
-            pivot = left.groupBy("bucket").agg(
-                F.min_by(F.struct("cid", "root"), F.xxhash64("cid", "bucket", F.lit(turn))).alias("p")
-            )
-            found = left.join(pivot, "bucket").filter("root <> p.root").select(F.col("cid").alias("a"), F.col("p.cid").alias("b"))
-        new = materialise(_confirmed(_pairs(found), classes, sets, percent), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            roots = connected(links)
-        if last:
-            break
+    left = materialise(_open(tables, roots), "open")
+    if not left.isEmpty():
+        fronts = materialise(_prefixes(left, sets, percent), "prefixes")
+        mine = fronts.filter("outside").select("shingle", F.col("cid").alias("a"), F.col("root").alias("r1"))
+        other = fronts.select("shingle", F.col("cid").alias("b"), F.col("root").alias("r2"))
+        met = mine.join(other, "shingle").filter("r1 <> r2").select("a", "b")
+        more = materialise(_confirmed(_pairs(met), classes, sets, percent), "links")
+        if not more.isEmpty():
+            roots = connected(links.unionByName(more))
     named = classes.select("cid", "doc_id").join(roots, F.col("cid") == F.col("node"), "left")
     named = named.select("cid", "doc_id", F.coalesce("root", "cid").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -210,12 +210,12 @@ def test_many_edited_copies(spark):
 
 
 def test_open_buckets(spark, monkeypatch):
-    """Chains of links in one bucket, with and without further pivots."""
+    """Chains of links in one bucket, whatever counts as frequent."""
     base = [f"v{i}" for i in range(200)]
     rows = [(k, " ".join(base[4 * k : 4 * k + 120])) for k in range(20)]
     want = brute.components(rows, 4, 80)
-    for pivots in (1, 4):
-        monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+    for often in (2, 32):
+        monkeypatch.setattr(near_dedup, "FREQUENT", often)
         got = {r.doc_id: r.component_id for r in near_dedup.groups(cases.docs(spark, rows), 4, 80).collect()}
         assert got == want and len(set(got.values())) == 1
 
