@@ -8,7 +8,7 @@ ROOT = Path(__file__).resolve().parent.parent
 for p in (ROOT, ROOT / "tests"):
     if str(p) not in sys.path:
         sys.path.insert(0, str(p))
-os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
+os.environ["PYTHONPATH"] = f"{ROOT}:{ROOT}/tests:{os.environ.get('PYTHONPATH', '')}"
 
 SMALL = "/root/testdata/sf0.001"
 

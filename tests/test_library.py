@@ -230,3 +230,52 @@ def test_cache_is_read_through(spark, tmp_path):
     for now in (1000.0, 2000.0, 1000.0 + 90_000):
         assert cached(spark, str(tmp_path), "s", q, "daily", fetch, now).count() == 3
     assert len(calls) == 2
+
+
+def test_paged_source_pushes_filters(spark):
+    import paged_pages
+
+    from ledgerline.sources.paged import PagedSource, with_retries
+
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PagedSource)
+    df = spark.read.format("paged").schema("county string, amount double, year int").options(fetcher="paged_pages:fetch", pages="9", per_task="2").load()
+    every = [r for p in range(1, 8) for r in paged_pages.fetch(p, {})]
+    assert df.count() == 70
+    got = df.filter("county = '72001' AND year >= 2003 AND amount < 55")
+    assert got.count() == sum(r["county"] == "72001" and r["year"] >= 2003 and r["amount"] < 55 for r in every)
+    tries = []
+
+    def flaky():
+        tries.append(1)
+        if len(tries) < 3:
+            raise OSError("busy")
+        return 5
+
+    assert with_retries(flaky, sleep=lambda s: None) == 5
+    with pytest.raises(ZeroDivisionError):
+        with_retries(lambda: 1 / 0, tries=2, sleep=lambda s: None)
+
+
+def test_html_tables_and_text(spark):
+    from ledgerline.sources import html
+
+    page = "<p>x</p><script>var a='<b>';</script><table><tr><th>A</th><th>B &amp; C</th></tr><tr><td> 1 <b>2</b></td><td>3</td></tr></table><!-- no -->"
+    df = spark.createDataFrame([(1, page), (2, None)], "id int, h string")
+    assert rows(html.tables(df, "id", "h").select("id", "row", "cells")) == [(1, 0, ["A", "B & C"]), (1, 1, ["1 2", "3"])]
+    assert df.select(html.plain_text(F.col("h"))).first()[0] == "x A B & C 1 2 3"
+
+
+def test_due_and_planned(spark):
+    from ledgerline.streaming import updates
+
+    at = dt.datetime(2024, 1, 10)
+    policies = spark.createDataFrame([("a", "daily"), ("b", "yearly"), ("c", "yearly"), ("d", "never")], "source string, cadence string")
+    state = spark.createDataFrame(
+        [("a", at - dt.timedelta(days=2), "h1", {}), ("b", at - dt.timedelta(days=2), "h2", {"a": "h0"}), ("d", at - dt.timedelta(days=900), "h3", {})],
+        "source string, fetched_at timestamp, content_hash string, consumed map<string,string>",
+    )
+    needs = spark.createDataFrame([("b", "a"), ("c", "b")], "source string, parent string")
+    found = updates.due(policies, state, needs, F.lit(at))
+    assert rows(found) == [("a", "stale"), ("b", "parent_changed"), ("c", "never_fetched")]
+    assert rows(updates.plan(found, needs).select("source", "wave")) == [("a", 0), ("b", 1), ("c", 2)]
