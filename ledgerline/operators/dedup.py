@@ -13,13 +13,16 @@ def blank(c: str) -> Column:
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], keep_blank: str | None = None) -> DataFrame:
     """The first row of each key.  Rows whose ``keep_blank`` column is blank are all kept.
 
-    One window sort; the key's rows needn't fit in memory.
+    One window sort; the key's rows needn't fit in memory.  Blank rows are dealt
+    out by a hash of all their columns, so that many of them don't meet in one task.
     """
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    salt = F.when(blank(keep_blank), F.xxhash64(*df.columns)) if keep_blank else F.lit(None).cast("long")
+    w = Window.partitionBy(*keys, "_salt").orderBy(*order) if keep_blank else Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn("_salt", salt).withColumn("_rank", F.row_number().over(w))
     chosen = F.col("_rank") == 1
     if keep_blank:
         chosen = chosen | blank(keep_blank)
-    return ranked.filter(chosen).drop("_rank")
+    return ranked.filter(chosen).drop("_rank", "_salt")
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.checks import upserted
+from ..operators.dedup import best_per_key
 
 
 def events(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_trigger: int | None = None) -> DataFrame:
@@ -55,7 +56,8 @@ def upsert_into(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(keys)
+        rest = [c for c in batch.columns if c not in keys]
+        fresh = best_per_key(batch, keys, [F.struct(*rest)])  # of a key's rows in one batch, the same one each time
         if number > 0:
             fresh = upserted(spark.read.parquet(f"{path}/v={number - 1}"), fresh, keys)
         fresh.write.mode("overwrite").parquet(f"{path}/v={number}")
