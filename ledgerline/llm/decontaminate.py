@@ -30,13 +30,13 @@ from pyspark.sql import types as T
 
 from .arrow_rows import add_columns, fresh, text_bytes
 from .scratch import materialise
+from .stores import store
 
 WINDOW = 10
 CHUNK, BLOCK = 32 << 20, 1 << 20
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
-_built: dict = {}
 
 RESULT = T.StructType(
     [
@@ -127,11 +127,7 @@ def _scan_chunk(docs: DataFrame, items: list[tuple[int, str]], window: int, resu
     tag = uuid.uuid4().hex
 
     def matcher(n: int) -> Matcher:
-        key = (tag, n)
-        if key not in _built:
-            _built.clear()  # one block at a time
-            _built[key] = Matcher(shared.value[n], window)
-        return _built[key]
+        return store((tag, n), lambda: Matcher(shared.value[n], window))  # one block at a time
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         texts = text_bytes(batch.column(batch.schema.get_field_index("text")))

@@ -37,12 +37,12 @@ from pyspark.sql import types as T
 
 from .arrow_rows import text_bytes
 from .scratch import materialise
+from .stores import store
 
 HOT = 400_000
 ALPHA = 0.1
 _FULL = 500_000
 _MARK = "▁"
-_kept: dict = {}
 LOG10 = math.log(10)
 
 
@@ -219,18 +219,15 @@ def score(docs: DataFrame, model_path: str, hot: int = HOT) -> DataFrame:
     )
 
     def table() -> dict[bytes, tuple[bool, float, float]]:
-        if tag not in _kept:
-            _kept.clear()
-            with pa.ipc.open_stream(shared.value) as reader:
-                t = reader.read_all()
-            n = t.column(1).to_numpy()
-            words = t.column(0).cast(pa.binary()).to_pylist()
-            rows = zip((n > 0).tolist(), np.log10((n + 1) / denominator).tolist(), t.column(2).to_pylist(), strict=True)
-            _kept[tag] = dict(zip(words, rows, strict=True))
-        return _kept[tag]
+        with pa.ipc.open_stream(shared.value) as reader:
+            t = reader.read_all()
+        n = t.column(1).to_numpy()
+        words = t.column(0).cast(pa.binary()).to_pylist()
+        rows = zip((n > 0).tolist(), np.log10((n + 1) / denominator).tolist(), t.column(2).to_pylist(), strict=True)
+        return dict(zip(words, rows, strict=True))
 
     def run(batches):
-        get = table().get
+        get = store(tag, table).get
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)

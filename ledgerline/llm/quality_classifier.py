@@ -33,11 +33,11 @@ from pyspark.sql import types as T
 
 from .arrow_rows import add_columns, fresh
 from .scratch import materialise
+from .stores import store
 
 TARGET_ROWS, BUCKETS, LOSS, SEED = 20_000, 1 << 15, 0.002, 17
 _WORD = re.compile(r"\w+|[^\w\s]+")
-_STORE = 400_000
-_hashes: dict[str, int] = {}
+_STORE = 250_000
 
 
 def buckets(text: str | None) -> np.ndarray:
@@ -47,15 +47,16 @@ def buckets(text: str | None) -> np.ndarray:
     words = _WORD.findall(text.lower()) if text else []
     if not words:
         return np.empty(0, np.int64)
+    seen = store("sign and word hashes", dict)
     try:
-        h = np.array([_hashes[w] for w in words], np.uint64)
+        h = np.array([seen[w] for w in words], np.uint64)
     except KeyError:
-        if len(_hashes) > _STORE:
-            _hashes.clear()
+        if len(seen) > _STORE:
+            seen.clear()
         for w in words:
-            if w not in _hashes:
-                _hashes[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        h = np.array([_hashes[w] for w in words], np.uint64)
+            if w not in seen:
+                seen[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+        h = np.array([seen[w] for w in words], np.uint64)
     two = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ h[1:]
     two = (two ^ (two >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return (np.concatenate((h, two)) >> np.uint64(40)).astype(np.int64) % BUCKETS

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow_rows import add_columns
+from .stores import store
 
 ROWS_PER_CLASS = 2500
 BITS, SIZES = 18, (3, 4, 5, 6)
-_STORE, _AT_ONCE = 400_000, 256
-_kept: dict[str, dict[str, float]] = {}
+_STORE, _AT_ONCE = 250_000, 256
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,10 +134,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], result: str = "score
     tag = uuid.uuid4().hex
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
-        if tag not in _kept:
-            _kept.clear()
-            _kept[tag] = {}
-        kept = _kept[tag]
+        kept = store(tag, dict)
         texts = batch.column(batch.schema.get_field_index("text"))
         z = np.empty(len(texts))
         for at in range(0, len(texts), _AT_ONCE):
