@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow_rows import slices
+from .scratch import materialise
 from .tokens import SpacedCounts, coder
 
 BLOCK = 1024
@@ -48,6 +49,8 @@ def limits_report(histogram: DataFrame) -> DataFrame:
     tokens_over (length > L); truncated_total, the tokens left if every document is cut
     to L; total_docs, total_tokens; quantile, the share of documents within.
     """
+    # read twice below: the texts must not be encoded twice
+    histogram = materialise(histogram, "length-histogram")
     h = histogram.withColumns({"block": F.floor(F.col("n_tokens") / BLOCK), "tokens": F.col("n_tokens") * F.col("n_docs")})
     # a row for each block of lengths: as many as the longest document has times 1/BLOCK
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
