@@ -165,6 +165,29 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM words WHERE len(ws) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 80 * (p.n + q.n - c)
+), ways AS (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links
+), reached(doc, low) AS (
+  SELECT doc_id, doc_id FROM words UNION SELECT b, low FROM reached JOIN ways ON doc = a WHERE low < b
+), lowest AS (SELECT doc, min(low) AS component_id FROM reached GROUP BY doc)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM words w LEFT JOIN sizes s ON w.doc_id = s.doc_id JOIN lowest ON doc = w.doc_id
+"""
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("text")
     lengths = token_counts.token_lengths(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -222,4 +245,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL, "op5_near_dedup": OP5_SQL}
