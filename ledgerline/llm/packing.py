@@ -211,7 +211,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     place = Window.partitionBy("length", "_shard").orderBy("doc_id", "piece")
     numbered = (
         pieces.withColumn("_nth", F.row_number().over(place))
-        .join(counts.select("length", "_shard", "_first"), ["length", "_shard"])
+        # partitioned alike by the window; a broadcast would grow with the shards
+        .join(counts.select("length", "_shard", "_first").hint("merge"), ["length", "_shard"])
         .withColumn("_number", F.col("_nth") - 1 + F.col("_first"))
         .drop("_nth", "_first", "_shard")
     )
