@@ -227,6 +227,22 @@ def overlap_join(spark, sf_dir):
     return joins.overlap(a, b, "route", "lo", "hi", "slo", "shi", 50.0).withColumn("s", share).filter("s >= 0.2").select("project", "segment", F.round("s", 4).alias("share"))
 
 
+@query("""
+SELECT p.p_partkey AS project, q.p_partkey AS segment, round(greatest(least(p.p_retailprice + 30, q.p_retailprice + 12.5) - greatest(p.p_retailprice, q.p_retailprice), 0) / 12.5, 4) AS share
+FROM part p JOIN part q ON p.p_brand = q.p_brand AND p.p_partkey <> q.p_partkey
+  AND p.p_retailprice <= q.p_retailprice + 12.5 AND q.p_retailprice <= p.p_retailprice + 30
+WHERE greatest(least(p.p_retailprice + 30, q.p_retailprice + 12.5) - greatest(p.p_retailprice, q.p_retailprice), 0) / 12.5 >= 0.2
+""")
+def whole_overlap_join(spark, sf_dir):
+    """overlap_join with all parts on both sides."""
+    p = table(spark, sf_dir, "part")
+    a = p.select(F.col("p_partkey").alias("project"), F.col("p_brand").alias("route"), F.col("p_retailprice").alias("lo"), (F.col("p_retailprice") + 30).alias("hi"))
+    b = p.select(F.col("p_partkey").alias("segment"), F.col("p_brand").alias("route"), F.col("p_retailprice").alias("slo"), (F.col("p_retailprice") + 12.5).alias("shi"))
+    share = values.overlap_share(F.col("lo"), F.col("hi"), F.col("slo"), F.col("shi"))
+    pairs = joins.overlap(a, b, "route", "lo", "hi", "slo", "shi", 50.0).filter("project <> segment")
+    return pairs.withColumn("s", share).filter("s >= 0.2").select("project", "segment", F.round("s", 4).alias("share"))
+
+
 @query("""
 SELECT p.event_id AS posting, count(f.event_id) AS filings, CAST(date_diff('second', max(f.ts), p.ts) AS BIGINT) AS lead_seconds, round(sum(f.value), 2) AS spend
 FROM events p JOIN events f ON p.user_id = f.user_id AND f.event_type = 'click' AND f.ts BETWEEN p.ts - INTERVAL 2 DAY AND p.ts
@@ -290,6 +306,14 @@ def fuzzy_best(spark, sf_dir):
     return joins.jaccard_best(a, b, "vendor", "registered", "x", "y", 0.6).withColumn("score", F.round("score", 4))
 
 
+@query()
+def whole_fuzzy_best(spark, sf_dir):
+    """fuzzy_best with all parts on both sides: each part's best other part (a cross join in SQL; tests compare by brute force)."""
+    words = similarity.tokens(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("vendor"), words.alias("x"))
+    return joins.jaccard_best_other(p, "vendor", "x", "registered", 0.6).withColumn("score", F.round("score", 4))
+
+
 @query()
 def fuzzy_edit_best(spark, sf_dir):
     """Token-set and sequence ratios of names that share a word (no SQL for them)."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 import differential
 import pytest
 
-import ledgerline.queries.wholes as wholes
+from ledgerline.operators import joins
+from ledgerline.queries import rows, wholes
 
 from conftest import SMALL
 
@@ -63,3 +64,27 @@ def test_whole_graph_queries_see_every_pair(spark, edges):
     assert got == {n: (sum(s == n for s, _ in edges), sum(d == n for _, d in edges)) for n in {x for e in edges for x in e}}
     one = {(r.origin, r.terminal) for r in wholes.whole_flow_paths(spark, SMALL).filter("hops = 1").collect()}
     assert one == {e for e in edges if e[0] != e[1]}
+
+
+def test_fuzzy_best_reads_every_part(spark, con):
+    sets = {k: frozenset(t.split()) for k, t in con.sql("SELECT p_partkey, p_name || ' ' || p_brand || ' ' || p_type FROM part").fetchall()}
+    want = {}
+    for a, x in sets.items():
+        score, b = max((len(x & y) / len(x | y), -b) for b, y in sets.items() if b != a)
+        if score >= 0.6:
+            want[a] = (-b, round(score, 4))
+    assert {r.vendor: (r.registered, r.score) for r in rows.whole_fuzzy_best(spark, SMALL).collect()} == want
+    assert any(a % 20 or b % 20 != 7 for a, (b, _) in want.items())
+
+
+def test_jaccard_best_other_with_copies(spark):
+    texts = ["a b c", "c b a", "a b c", "a b d", "x", "", ""]
+    df = spark.createDataFrame([(i, t.split()) for i, t in enumerate(texts)], "i int, w array<string>")
+    got = {r.i: (r.j, r.score) for r in joins.jaccard_best_other(df, "i", "w", "j", 0.5).collect()}
+    assert got == {0: (1, 1.0), 1: (0, 1.0), 2: (0, 1.0), 3: (0, 0.5)}
+
+
+def test_overlap_join_reads_every_part(spark, con):
+    p = con.sql("SELECT p_partkey, p_brand, p_retailprice FROM part").fetchall()
+    want = {(a, b) for a, r, lo in p for b, q, s in p if a != b and r == q and (min(lo + 30, s + 12.5) - max(lo, s)) / 12.5 >= 0.2}
+    assert {(r.project, r.segment) for r in rows.whole_overlap_join(spark, SMALL).collect()} == want
