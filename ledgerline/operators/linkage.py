@@ -134,3 +134,16 @@ def waves(edges: DataFrame, nodes: DataFrame, max_depth: int = 50) -> DataFrame:
         if ready.isEmpty() or left.isEmpty():
             break
     return done.unionByName(left.withColumn("wave", F.lit(None).cast("int")))
+
+
+def superseded(df: DataFrame, scope: list[str], at: str, filing: str, restates: Column) -> DataFrame:
+    """Adds ``superseded``: whether a later restatement of the same scope, by (at, filing), replaces the row's filing.
+
+    A filing whose rows differ in time or in being a restatement raises.
+    """
+    one = df.groupBy(*scope, filing).agg(F.min(at).alias("_at"), F.max(at).alias("_hi"), F.min(restates).alias("_is"), F.max(restates).alias("_any"))
+    bad = (F.col("_at") != F.col("_hi")) | (F.col("_is") != F.col("_any"))
+    one = one.withColumn("_is", F.when(bad, F.raise_error(F.lit("inconsistent filing metadata")).cast("boolean")).otherwise(F.col("_is")))
+    last = F.max(F.when(F.col("_is"), F.struct(F.col("_at").alias("t"), F.col(filing).alias("f")))).over(Window.partitionBy(*scope))
+    state = F.coalesce(F.struct(F.col("_at").alias("t"), F.col(filing).alias("f")) < last, F.lit(False))
+    return df.join(one.withColumn("superseded", state).select(*scope, filing, "superseded"), [*scope, filing])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import differential
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerline.operators import joins
+from ledgerline.operators import fuzzy, joins, linkage
 from ledgerline.queries import rows, wholes
 
 from conftest import SMALL
@@ -88,3 +91,66 @@ def test_overlap_join_reads_every_part(spark, con):
     p = con.sql("SELECT p_partkey, p_brand, p_retailprice FROM part").fetchall()
     want = {(a, b) for a, r, lo in p for b, q, s in p if a != b and r == q and (min(lo + 30, s + 12.5) - max(lo, s)) / 12.5 >= 0.2}
     assert {(r.project, r.segment) for r in rows.whole_overlap_join(spark, SMALL).collect()} == want
+
+
+NAMES = ["ACME", "ACMFF", "ACME CONSTRUCTION GROUP", "CONSTRUCTION GROUP ACME", "BETA SUPPLY CO", "BETA SUPLY CO", "OMEGA", "PRASA", "", "GAMMA TRUST"]
+OTHERS = ["ACME CONSTRUCTION GROUP", "ACMF", "BETA SUPPLY", "GAMMA TRUSTS", "OMEGA", "DELTA"]
+
+
+def _frames(spark):
+    return spark.createDataFrame([(n,) for n in NAMES], "n string"), spark.createDataFrame([(n,) for n in OTHERS], "o string")
+
+
+def test_best_name_takes_the_higher_score_of_all_pairs(spark):
+    want = {}
+    for a in filter(None, NAMES):
+        score, b = min((-fuzzy.name_score(a, b), b) for b in OTHERS)
+        if -score >= 0.75:
+            want[a] = (b, pytest.approx(-score))
+    left, right = _frames(spark)
+    got = {r.n: (r.o, r.score) for r in fuzzy.best_name(left, right, "n", "o", 0.75).collect()}
+    assert got == want and got["ACME"] == ("ACME CONSTRUCTION GROUP", 1.0) and got["ACMFF"] == ("ACMF", pytest.approx(8 / 9))
+
+
+def test_exact_then_fuzzy_by_sequence_ratio(spark):
+    from difflib import SequenceMatcher
+
+    want = {}
+    for a in filter(None, NAMES):
+        score, b = min((-SequenceMatcher(None, a, b).ratio(), b) for b in OTHERS)
+        want[a] = (a, "exact") if a in OTHERS else (b, "fuzzy") if -score >= 0.85 else (None, "none")
+    left, right = _frames(spark)
+    assert {r.n: (r.o, r.method) for r in fuzzy.exact_then_fuzzy(left, right, "n", "o").collect()} == want
+    assert {m for _, m in want.values()} == {"exact", "fuzzy", "none"}
+
+
+def test_matched_before_joins_by_score_and_time(spark):
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    posted = [(i, n, day(200 + i)) for i, n in enumerate(NAMES)]
+    filed = [(j, n, day(d)) for j, (n, d) in enumerate((n, d) for n in OTHERS for d in (10, 30, 199, 205, 300))]
+    left, right = spark.createDataFrame(posted, "p int, n string, t timestamp"), spark.createDataFrame(filed, "f int, o string, u timestamp")
+    want = {(p, f) for p, n, t in posted for f, o, u in filed if fuzzy.name_score(n, o) >= 0.7 and t - dt.timedelta(days=180) <= u <= t}
+    assert {(r.p, r.f) for r in fuzzy.matched_before(left, right, "n", "o", "t", "u", 180).collect()} == want and want
+
+
+def test_matched_over_columns_takes_the_maximum(spark):
+    left = spark.createDataFrame([(1, "ACME DE PR GROUP"), (2, "DE PR")], "i int, n string")
+    right = spark.createDataFrame([(7, "BETA", "ACME GROUP"), (8, "GROUP ACME", None), (9, "DE PR", "ACME")], "j int, a string, b string")
+    assert sorted(tuple(r) for r in fuzzy.matched_over_columns(left, right, "i", "j", "n", ["a", "b"]).collect()) == [(1, 7, 1.0), (1, 8, 1.0)]
+
+
+def test_corridor_promotes_projects_without_measures(spark):
+    p = spark.createDataFrame([(1, "R", 0.0, 4.0), (2, "R", None, None), (3, "R", 5.0, None), (4, "R", 9.0, 2.0), (5, "Q", None, None)], "p int, r string, lo double, hi double")
+    s = spark.createDataFrame([(1, "R", 0.0, 10.0), (2, "R", 3.5, 8.5), (3, "R", 8.0, 9.0)], "s int, r string, slo double, shi double")
+    got = sorted((r.p, r.s, r.share, r.method) for r in joins.corridor(p, s, "p", "s", "r", 5.0).collect())
+    assert got == [(1, 1, 0.4, "route_km_measure"), *[(2, k, 0.0, "route_only_promoted") for k in (1, 2, 3)]]
+
+
+def test_superseded_replaces_all_prior_filings(spark):
+    rows_ = [("h", 1, "a", False), ("h", 1, "a", False), ("h", 2, "b", False), ("h", 3, "c", True), ("h", 3, "d", False), ("h", 4, "e", False), ("g", 1, "f", True)]
+    df = spark.createDataFrame(rows_, "h string, t int, f string, r boolean")
+    assert sorted((r.f, r.superseded) for r in linkage.superseded(df, ["h"], "t", "f", F.col("r")).collect()) == [
+        ("a", True), ("a", True), ("b", True), ("c", False), ("d", False), ("e", False), ("f", False)
+    ]
+    with pytest.raises(Exception, match="inconsistent"):
+        linkage.superseded(spark.createDataFrame([*rows_, ("h", 9, "a", False)], df.schema), ["h"], "t", "f", F.col("r")).collect()
