@@ -76,21 +76,26 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataF
     return ranks.select("node", "rank")
 
 
-def reaches(edges: DataFrame, max_hops: int) -> DataFrame:
-    """src, dst, hops: the transitive closure up to a number of hops, shortest first."""
-    step = edges.select("src", "dst").distinct()
+def reaches(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """src, dst, hops: the transitive closure, or what of it a number of hops reaches, shortest first."""
+    step = _settled(edges.select("src", "dst").distinct())
     known = step.withColumn("hops", F.lit(1))
-    front = known
-    for hop in range(2, max_hops + 1):
+    front, hop = known, 1
+    while max_hops is None or hop < max_hops:
+        hop += 1
         grown = front.select("src", F.col("dst").alias("_mid")).join(step.withColumnRenamed("src", "_mid"), "_mid")
         front = grown.select("src", "dst").distinct().join(known, ["src", "dst"], "left_anti").withColumn("hops", F.lit(hop))
         front = _settled(front)
+        if front.isEmpty():
+            break
         known = known.unionByName(front)
+        if hop % 10 == 0:
+            known = _settled(known)
     return known
 
 
-def cycles(edges: DataFrame, max_hops: int) -> DataFrame:
-    """node, hops: the nodes that reach themselves."""
+def cycles(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """node, hops: the nodes that reach themselves (in at most max_hops, if given) and in how many hops."""
     return reaches(edges, max_hops).filter("src = dst").select(F.col("src").alias("node"), "hops")
 
 

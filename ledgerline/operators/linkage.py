@@ -116,23 +116,25 @@ def worst_tier(df: DataFrame, row: str, sources: Column, tiers: DataFrame, order
     return each.groupBy(row).agg(F.element_at(F.array(*[F.lit(t) for t in order]), worst + 1).alias("tier"))
 
 
-def waves(edges: DataFrame, nodes: DataFrame, max_depth: int = 50) -> DataFrame:
+def waves(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, wave: the length of the longest chain of dependencies below each node (edges: node, needs).
 
-    One join a level.  Nodes on or behind a cycle have no wave: null.
+    One join a level, until none is ready.  Nodes on or behind a cycle have no wave: null.
     """
+    from .graph import _settled
+
     left = nodes.select("node").distinct()
-    done = None
-    for wave in range(max_depth):
+    done, wave = None, 0
+    while True:
         waiting = edges.select("node", F.col("needs").alias("_n")).join(left.select(F.col("node").alias("_n")), "_n", "left_semi").select("node").distinct()
-        ready = left.join(waiting, "node", "left_anti").withColumn("wave", F.lit(wave))
-        from .graph import _settled
-
-        ready = _settled(ready)
+        ready = _settled(left.join(waiting, "node", "left_anti").withColumn("wave", F.lit(wave)))
         done = ready if done is None else done.unionByName(ready)
         left = _settled(left.join(ready.select("node"), "node", "left_anti"))
         if ready.isEmpty() or left.isEmpty():
             break
+        wave += 1
+        if wave % 10 == 0:
+            done = _settled(done)
     return done.unionByName(left.withColumn("wave", F.lit(None).cast("int")))
 
 

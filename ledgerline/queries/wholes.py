@@ -160,7 +160,8 @@ def whole_flow_paths(spark, sf_dir):
 
 @query()
 def whole_cycle_check(spark, sf_dir):
-    return graph.cycles(_edges(spark, sf_dir), 4)
+    """Nodes on cycles of any length."""
+    return graph.cycles(_edges(spark, sf_dir))
 
 
 @query(f"WITH {_ALL_EDGES}, x AS (SELECT src || '-' || (dst % 9) AS edge_id, src, dst FROM e) SELECT edge_id, 'orphan_src' AS fault FROM x WHERE src % 6 = 0 UNION ALL SELECT edge_id, 'orphan_dst' FROM x WHERE dst % 6 = 0 UNION ALL SELECT edge_id, 'self_loop' FROM x WHERE src = dst UNION ALL SELECT edge_id, 'duplicate' FROM x GROUP BY edge_id HAVING count(*) > 1")

@@ -8,7 +8,7 @@ import differential
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import fuzzy, joins, linkage
+from ledgerline.operators import fuzzy, graph, joins, linkage
 from ledgerline.queries import rows, wholes
 
 from conftest import SMALL
@@ -154,3 +154,30 @@ def test_superseded_replaces_all_prior_filings(spark):
     ]
     with pytest.raises(Exception, match="inconsistent"):
         linkage.superseded(spark.createDataFrame([*rows_, ("h", 9, "a", False)], df.schema), ["h"], "t", "f", F.col("r")).collect()
+
+
+def test_cycles_of_any_length(spark):
+    e = spark.createDataFrame([(i, (i + 1) % 7) for i in range(7)] + [(3, 20), (20, 21), (30, 30)], "src int, dst int")
+    assert sorted(tuple(r) for r in graph.cycles(e).collect()) == [*((i, 7) for i in range(7)), (30, 1)]
+
+
+def test_whole_cycle_check_reads_every_edge(spark, edges):
+    after = {}
+    for s, d in edges:
+        after.setdefault(s, set()).add(d)
+    want = {}
+    for s in after:
+        front, seen, hop = after[s], set(), 1
+        while front and s not in front:
+            seen |= front
+            front, hop = {y for x in front for y in after.get(x, ())} - seen, hop + 1
+        if front:
+            want[s] = hop
+    assert {r.node: r.hops for r in wholes.whole_cycle_check(spark, SMALL).collect()} == want
+
+
+def test_waves_of_a_long_chain(spark):
+    nodes = spark.createDataFrame([(i,) for i in range(56)], "node int").coalesce(1)
+    needs = spark.createDataFrame([(i, i - 1) for i in range(1, 53)] + [(54, 55), (55, 54), (53, 54)], "node int, needs int").coalesce(1)
+    got = {r.node: r.wave for r in linkage.waves(needs, nodes).collect()}
+    assert got == {i: i if i < 53 else None for i in range(56)}
