@@ -54,8 +54,12 @@ def simple_paths(edges: DataFrame, origins: DataFrame, max_hops: int) -> DataFra
     return found
 
 
-def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataFrame:
-    """node, rank: weighted, directed; ranks sum to 1 and dangling nodes share theirs with all."""
+def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-9, most: int = 500) -> DataFrame:
+    """node, rank: weighted, directed; ranks sum to 1 and dangling nodes share theirs with all.
+
+    Without ``rounds`` it goes on until a round changes all ranks together by less than
+    ``tolerance`` (looked at every fifth round), and raises after ``most`` rounds.
+    """
     e = edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     out = e.groupBy("src").agg(F.sum("weight").alias("total"))
     e = _settled(e.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")))
@@ -63,7 +67,9 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataF
     nodes = _settled(nodes.join(out.select(F.col("src").alias("node"), F.lit(True).alias("gives")), "node", "left"))
     n = nodes.count()
     ranks = nodes.select("node", "gives", F.lit(1.0 / max(n, 1)).alias("rank"))
-    for k in range(rounds):
+    k = 0
+    while rounds is None or k < rounds:
+        last = ranks
         lost = ranks.filter("gives IS NULL").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("lost"))
         moved = e.join(ranks, F.col("src") == F.col("node")).groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("in"))
         ranks = (
@@ -71,8 +77,17 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataF
             .join(F.broadcast(lost), F.lit(True))
             .select("node", "gives", ((1 - damping) / n + damping * (F.coalesce("in", F.lit(0.0)) + F.col("lost") / n)).alias("rank"))
         )
-        if k % 5 == 4:
+        k += 1
+        if k % 5 == 0:
+            if rounds is None:
+                ranks = ranks.join(last.select("node", F.col("rank").alias("before")), "node")
             ranks = _settled(ranks)
+            if rounds is None:
+                change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("before")))).first()[0]
+                if change is None or change < tolerance:
+                    break
+                if k >= most:
+                    raise ValueError(f"ranks still change by {change} after {k} rounds")
     return ranks.select("node", "rank")
 
 

@@ -172,7 +172,7 @@ def whole_graph_faults(spark, sf_dir):
 
 @query()
 def pagerank(spark, sf_dir):
-    """Twenty rounds; tests hold it against a plain version."""
+    """Converged ranks; tests hold them against a plain version."""
     return graph.pagerank(_edges(spark, sf_dir)).withColumn("rank", F.round("rank", 8))
 
 

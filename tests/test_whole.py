@@ -181,3 +181,14 @@ def test_waves_of_a_long_chain(spark):
     needs = spark.createDataFrame([(i, i - 1) for i in range(1, 53)] + [(54, 55), (55, 54), (53, 54)], "node int, needs int").coalesce(1)
     got = {r.node: r.wave for r in linkage.waves(needs, nodes).collect()}
     assert got == {i: i if i < 53 else None for i in range(56)}
+
+
+def test_pagerank_converges(spark):
+    pairs = [(0, 1), (1, 0), (1, 2), (2, 1), (2, 3), (3, 2), (3, 0), (0, 4), (4, 5), (5, 6), (6, 4)]  # a ring of three drains the rest slowly
+    rank = dict.fromkeys(range(7), 1 / 7)
+    for _ in range(1000):
+        rank = {n: 0.15 / 7 + 0.85 * sum(rank[s] / sum(x == s for x, _ in pairs) for s, d in pairs if d == n) for n in range(7)}
+    e = spark.createDataFrame([(s, d, 1.0) for s, d in pairs], "src int, dst int, weight double").coalesce(1)
+    assert {r.node: r["rank"] for r in graph.pagerank(e).collect()} == pytest.approx(rank, abs=1e-8)
+    with pytest.raises(ValueError):
+        graph.pagerank(e, most=5)
