@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import codecs
 import io
 import zipfile
 from collections.abc import Callable
@@ -38,15 +37,10 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, e
     return df.select(*columns) if columns else df
 
 
-def encoding_of(spark: SparkSession, path: str, first_bytes: int = 1 << 20) -> str:
-    """UTF-8 if the first bytes decode as such, else Latin-1."""
-    row = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, first_bytes).alias("c")).first()
-    try:
-        # a character cut off where the probe ends is no error
-        codecs.getincrementaldecoder("utf-8")().decode(bytes(row.c), final=len(row.c) < first_bytes)
-        return "UTF-8"
-    except UnicodeDecodeError:
-        return "ISO-8859-1"
+def encoding_of(spark: SparkSession, path: str) -> str:
+    """UTF-8 if the whole file decodes as such, else Latin-1; decided where the file is read."""
+    row = spark.read.format("binaryFile").load(path).agg(F.bool_and(F.is_valid_utf8(F.col("content").cast("string"))).alias("valid")).first()
+    return "ISO-8859-1" if row.valid is False else "UTF-8"
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

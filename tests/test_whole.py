@@ -192,3 +192,13 @@ def test_pagerank_converges(spark):
     assert {r.node: r["rank"] for r in graph.pagerank(e).collect()} == pytest.approx(rank, abs=1e-8)
     with pytest.raises(ValueError):
         graph.pagerank(e, most=5)
+
+
+def test_encoding_looks_at_the_whole_file(spark, tmp_path):
+    from ledgerline.sources import readers
+
+    late = b"x" * (1 << 20) + "\nPe\u00f1a\n".encode("latin-1")
+    (tmp_path / "late.csv").write_bytes(late)
+    (tmp_path / "good.csv").write_bytes(b"x" * (1 << 20) + "\nPe\u00f1a\n".encode())
+    assert readers.encoding_of(spark, str(tmp_path / "late.csv")) == "ISO-8859-1"
+    assert readers.encoding_of(spark, str(tmp_path / "good.csv")) == "UTF-8"
