@@ -147,14 +147,14 @@ def _better(a: Pattern, b: Pattern, capacity: int) -> tuple[list[int], list[int]
     return found
 
 
-def local_search(bins: Counter, capacity: int, max_moves: int = 20_000) -> Counter:
+def local_search(bins: Counter, capacity: int, max_moves: int | None = None) -> Counter:
     """Improves underfull bins until as few are left as the tokens need, or no exchange helps."""
     bins = Counter({p: n for p, n in bins.items() if p and n})
     total = sum(_fill(p) * n for p, n in bins.items())
     need = -(-total // capacity)
     stuck: set[tuple[Pattern, Pattern]] = set()
     moves = 0
-    while bins.total() > need and moves < max_moves:
+    while bins.total() > need and (max_moves is None or moves < max_moves):  # ends: squared fills grow with each exchange
         open_bins = sorted((p for p in bins if _fill(p) < capacity), key=lambda p: (_fill(p), p))
         step = None
         for b in open_bins:  # the emptiest gives, the fullest takes

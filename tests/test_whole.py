@@ -183,6 +183,17 @@ def test_waves_of_a_long_chain(spark):
     assert got == {i: i if i < 53 else None for i in range(56)}
 
 
+def test_local_search_has_no_silent_cap(monkeypatch):
+    from collections import Counter
+
+    from ledgerline.llm import packing
+
+    calls = []
+    monkeypatch.setattr(packing, "_better", lambda a, b, capacity: calls.append(1) or (([], []) if len(calls) <= 20_005 else None))
+    packing.local_search(Counter({((3, 1),): 1, ((4, 1),): 1}), 10)
+    assert len(calls) > 20_005
+
+
 def test_pagerank_converges(spark):
     pairs = [(0, 1), (1, 0), (1, 2), (2, 1), (2, 3), (3, 2), (3, 0), (0, 4), (4, 5), (5, 6), (6, 4)]  # a ring of three drains the rest slowly
     rank = dict.fromkeys(range(7), 1 / 7)
