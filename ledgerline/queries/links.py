@@ -116,6 +116,16 @@ def snapshot_merge(spark, sf_dir):
     return linkage.merged_snapshot(c.filter("c_custkey % 2 = 0"), new, "c_custkey")
 
 
+@query("""
+SELECT coalesce(s_suppkey, c_custkey) AS k, CASE WHEN s_suppkey IS NULL THEN 'old' ELSE 'new' END AS version, CASE WHEN s_suppkey IS NULL THEN c_acctbal ELSE s_acctbal END AS balance FROM customer FULL JOIN supplier ON c_custkey = s_suppkey
+""")
+def whole_snapshot_merge(spark, sf_dir):
+    """All customers as the old rows, all suppliers as the new ones."""
+    old = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lit("old").alias("version"), F.col("c_acctbal").alias("balance"))
+    new = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.lit("new").alias("version"), F.col("s_acctbal").alias("balance"))
+    return linkage.merged_snapshot(old, new, "k")
+
+
 @query("""
 SELECT a.s_nationkey AS nation, a.s_suppkey AS member, b.s_suppkey AS head FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey % 9 <> 0 AND b.s_suppkey % 9 = 0
 """)

@@ -190,6 +190,18 @@ def outer_bridge(spark, sf_dir):
     return joins.bridge(a, b, "nation", "supplier", "customer")
 
 
+@query("""
+SELECT coalesce(a.k, b.k) AS nation, a.n AS suppliers, b.n AS customers,
+  CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'supplier' ELSE 'customer' END AS provenance
+FROM (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) a FULL JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1) b ON a.k = b.k
+""")
+def whole_outer_bridge(spark, sf_dir):
+    """outer_bridge over all nations."""
+    a = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("suppliers"))
+    b = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("customers"))
+    return joins.bridge(a, b, "nation", "supplier", "customer")
+
+
 @query("""
 WITH i AS (SELECT s_name AS key, s_suppkey AS vendor, s_suppkey AS ord FROM supplier UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_suppkey, s_suppkey FROM supplier),
 p AS (SELECT c_custkey, 0 AS place, CASE WHEN c_custkey % 3 = 0 THEN 'Supplier#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS key FROM customer

@@ -115,6 +115,17 @@ def cross_layers(spark, sf_dir):
     return edges.domains_of(frames, "k").withColumn("domains", F.array_join("domains", "|"))
 
 
+@query("""
+WITH d AS (SELECT DISTINCT c_nationkey AS k, 'customer' AS d FROM customer UNION SELECT DISTINCT s_nationkey, 'supplier' FROM supplier UNION SELECT n_nationkey, 'nation' FROM nation)
+SELECT k AS subject, string_agg(d, '|' ORDER BY d) AS domains FROM d GROUP BY k HAVING count(*) > 1
+""")
+def whole_cross_layers(spark, sf_dir):
+    """cross_layers over whole tables."""
+    named = lambda t, c: table(spark, sf_dir, t).select(F.col(c).alias("k"))
+    frames = {"customer": named("customer", "c_nationkey"), "supplier": named("supplier", "s_nationkey"), "nation": named("nation", "n_nationkey")}
+    return edges.domains_of(frames, "k").withColumn("domains", F.array_join("domains", "|"))
+
+
 @query("""
 WITH s AS (SELECT n_nationkey, count(s_suppkey) AS r FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1)
 SELECT n_nationkey, CASE WHEN n_nationkey % 9 = 8 THEN 'missing' WHEN n_nationkey % 9 = 7 THEN 'fixture' WHEN r = 0 THEN 'empty' WHEN r < 4 THEN 'below_minimum' ELSE 'materialised' END AS state,

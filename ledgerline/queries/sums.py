@@ -143,6 +143,17 @@ def set_overlap(spark, sf_dir):
     return aggregates.multiset_overlap(c.filter("c_custkey % 2 = 0"), c.filter("c_custkey % 3 = 0"), ["c_nationkey", "c_mktsegment"])
 
 
+@query("""
+WITH a AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1),
+t AS (SELECT CAST(sum(least(coalesce(a.n, 0), coalesce(b.n, 0))) AS BIGINT) AS common, CAST(sum(coalesce(a.n, 0)) AS BIGINT) AS left_rows, CAST(sum(coalesce(b.n, 0)) AS BIGINT) AS right_rows FROM a FULL JOIN b ON a.k = b.k)
+SELECT *, round(common / (left_rows + right_rows - common), 6) AS jaccard, round(common / greatest(left_rows, right_rows), 6) AS of_larger FROM t
+""")
+def whole_set_overlap(spark, sf_dir):
+    """Nations of all customers against those of all suppliers."""
+    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    return aggregates.multiset_overlap(c.select(F.col("c_nationkey").alias("nation")), s.select(F.col("s_nationkey").alias("nation")), ["nation"])
+
+
 @query("""
 WITH c AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_name END AS name, CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_mktsegment END AS segment, c_acctbal AS balance FROM customer)
 SELECT 'name' AS field, count(*) AS n_rows, count(*) FILTER (WHERE trim(coalesce(name, '')) <> '') AS filled, round(count(*) FILTER (WHERE trim(coalesce(name, '')) <> '') / count(*), 4) AS rate FROM c

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import fuzzy, graph, joins, linkage
-from ledgerline.queries import rows, wholes
+from ledgerline.queries import links, rows, rulesets, sums, wholes
 
 from conftest import SMALL
 
@@ -213,3 +213,18 @@ def test_encoding_looks_at_the_whole_file(spark, tmp_path):
     (tmp_path / "good.csv").write_bytes(b"x" * (1 << 20) + "\nPe\u00f1a\n".encode())
     assert readers.encoding_of(spark, str(tmp_path / "late.csv")) == "ISO-8859-1"
     assert readers.encoding_of(spark, str(tmp_path / "good.csv")) == "UTF-8"
+
+
+def test_layers_and_bridge_read_every_nation(spark, con):
+    sides = {k: {x for (x,) in con.sql(f"SELECT {c} FROM {k}").fetchall()} for k, c in (("customer", "c_nationkey"), ("nation", "n_nationkey"), ("supplier", "s_nationkey"))}
+    want = {n: "|".join(k for k in sides if n in sides[k]) for n in set().union(*sides.values())}
+    assert {r.subject: r.domains for r in rulesets.whole_cross_layers(spark, SMALL).collect()} == {n: d for n, d in want.items() if "|" in d}
+    assert {r.nation for r in rows.whole_outer_bridge(spark, SMALL).collect()} == sides["customer"] | sides["supplier"]
+
+
+def test_overlap_and_snapshot_read_every_row(spark, con):
+    n = {t: con.sql(f"SELECT count(*) FROM {t}").fetchall()[0][0] for t in ("customer", "supplier")}
+    r = sums.whole_set_overlap(spark, SMALL).first()
+    assert (r.left_rows, r.right_rows) == (n["customer"], n["supplier"])
+    keys = {k for (k,) in con.sql("SELECT c_custkey FROM customer UNION SELECT s_suppkey FROM supplier").fetchall()}
+    assert {r.k for r in links.whole_snapshot_merge(spark, SMALL).collect()} == keys
