@@ -1,19 +1,23 @@
 """Quality rules with risk-controlled cutoffs (DataFrame operations only).
 
 ``rule_metrics`` measures each whole text.  ``certified_cutoffs`` looks at the
-documents labelled good, in each stratum (language), and for every rule and
-every cutoff of a fixed grid counts how many of them the cutoff would reject.
-A cutoff is certified if the exact binomial test rejects "it loses more than
-``max_loss`` of the good documents" at level ``delta`` after a Bonferroni
-correction over all strata, rules and cutoffs, with ``max_loss`` shared among
-the rules, so that with probability 1 - delta no stratum loses more than
-``max_loss``.  The strictest certified cutoff of each rule is used; a stratum
-without enough labels gets none and loses nothing.
+documents labelled good, in each stratum (language): they are holdouts, for the
+cutoffs come from fixed ``LEVELS``, each a cutoff for every rule, from loose to
+strict.  A level is tested by the exact binomial test of "the rules together
+reject more than ``max_loss`` of the good documents".  Levels are tested in their
+order and the first that fails ends the chain, so a chain needs no correction
+within itself; over the strata the error is split evenly (Bonferroni).  With
+probability 1 - delta no stratum loses more than ``max_loss``.  The strictest
+certified level applies.  With no loss at all a level needs
+log(delta / strata) / log(1 - max_loss) good labels, 144 for four strata; a
+stratum with fewer gets no cutoff and loses nothing.
 
 Defined cases: null or empty text has no words and fails the base rule; null
-language is a stratum of its own; rows that repeat are rows of their own; an
-empty table gives no rows; a repeated label row counts once; a document
-labelled both ways is not good.
+language is a stratum of its own; rows that repeat are rows of their own; ties
+with a cutoff are kept; an empty table gives no rows; a repeated label row
+counts once; a document labelled both ways is not good; texts of any length
+are measured whole, one at a time; further columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,13 +27,23 @@ from pyspark.sql import functions as F
 
 from .scratch import materialise
 
-MAX_LOSS, DELTA = 0.02, 0.05
-#: Rule -> (metric as SQL, cutoffs): a document is rejected above the cutoff.
-RULES: dict[str, tuple[str, list[float]]] = {
-    "symbols": ("n_symbols / greatest(word_chars, 1)", [0.05, 0.075, 0.1, 0.15, 0.2, 0.3, 0.5]),
-    "lines": ("n_dup_lines / greatest(n_lines, 1)", [0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]),
-    "word_length": ("word_chars / greatest(n_words, 1)", [10.0, 12.0, 15.0, 20.0, 30.0, 50.0]),
+MAX_LOSS, DELTA = 0.03, 0.05
+#: Rule -> metric as SQL: a document is rejected above the cutoff.
+RULES: dict[str, str] = {
+    "symbols": "n_symbols / greatest(word_chars, 1)",
+    "lines": "n_dup_lines / greatest(n_lines, 1)",
+    "word_length": "word_chars / greatest(n_words, 1)",
 }
+#: Cutoffs of the rules, from loose to strict.
+LEVELS: list[tuple[float, float, float]] = [
+    (0.5, 0.9, 50.0),
+    (0.4, 0.8, 30.0),
+    (0.3, 0.7, 20.0),
+    (0.2, 0.6, 15.0),
+    (0.15, 0.5, 13.0),
+    (0.1, 0.4, 12.0),
+    (0.05, 0.3, 10.0),
+]
 _SPACE = " \t\n\u000b\f\r"
 
 
@@ -102,34 +116,26 @@ def _binomial_tail(k: str, n: str, p: float) -> Column:
 def certified_cutoffs(
     metrics: DataFrame, labels: DataFrame, stratum: str = "lang", max_loss: float = MAX_LOSS, delta: float = DELTA
 ) -> DataFrame:
-    """One row per stratum that has labels: stratum, and the certified cutoff of each rule (null: none)."""
+    """From written ``rule_metrics``, one row per stratum that has good labels: stratum, n_held, level (0: none), and the cutoff of each rule (null: none)."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
     held = metrics.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi")
+    above = lambda cuts: F.expr(" OR ".join(f"{m} > {c}D" for m, c in zip(RULES.values(), cuts, strict=True)))
     counts = held.groupBy(stratum).agg(
-        F.count("*").alias("n"),
-        *[
-            F.count(F.when(F.expr(metric) > c, 1)).alias(f"{rule}_{i}")
-            for rule, (metric, grid) in RULES.items()
-            for i, c in enumerate(grid)
-        ],
+        F.count("*").alias("n"), *[F.count(F.when(above(cuts), 1)).alias(f"lost_{i}") for i, cuts in enumerate(LEVELS)]
     )
-    tests = sum(len(grid) for _, grid in RULES.values())
-    level = F.lit(delta) / (F.lit(tests) * F.col("strata"))
     counts = counts.withColumn("strata", F.count("*").over(Window.partitionBy(F.lit(0))))  # a row per stratum
-    share = max_loss / len(RULES)
-    chosen = []
-    for rule, (_, grid) in RULES.items():
-        passed = [
-            # beyond the mean the tail is over a half, so the sum is not needed there
-            F.when(
-                (F.col(f"{rule}_{i}") < share * F.col("n"))
-                & (F.when(F.col(f"{rule}_{i}") < share * F.col("n"), _binomial_tail(f"{rule}_{i}", "n", share)) <= level),
-                F.lit(float(c)),
-            )
-            for i, c in enumerate(grid)
-        ]
-        chosen.append(F.least(*passed).alias(f"cut_{rule}"))
-    return counts.select(F.col(stratum).alias("stratum"), F.col("n").alias("n_held"), *chosen)
+    passed = []
+    for i in range(len(LEVELS)):
+        few = F.col(f"lost_{i}") < max_loss * F.col("n")
+        # beyond the mean the tail is over a half, so the sum is not needed there
+        tail = F.when(few, _binomial_tail(f"lost_{i}", "n", max_loss))
+        passed.append(F.coalesce(tail <= F.lit(delta) / F.col("strata"), F.lit(False)))
+    fails = F.array_position(F.array(*passed, F.lit(False)), False)  # where the chain ends
+    found = counts.select(F.col(stratum).alias("stratum"), F.col("n").alias("n_held"), (fails - 1).cast("int").alias("level"))
+    cuts = [
+        F.get(F.array(*[F.lit(c[k]) for c in LEVELS]), F.col("level") - 1).alias(f"cut_{rule}") for k, rule in enumerate(RULES)
+    ]
+    return found.select("*", *cuts)
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -141,7 +147,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> Da
         F.array(
             *[
                 F.when(F.expr(metric) > F.col(f"cut_{rule}"), F.lit(rule))
-                for rule, (metric, _) in RULES.items()
+                for rule, metric in RULES.items()
             ]
         ),
         lambda r: r.isNotNull(),
