@@ -38,15 +38,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20)
 
 
 def add_columns(
-    docs: DataFrame, fields: list[T.StructField], work: Callable[[pa.RecordBatch], list[pa.Array]]
+    docs: DataFrame, fields: list[T.StructField], work: Callable[[pa.RecordBatch], list[pa.Array]], text: str | None = None
 ) -> DataFrame:
-    """docs with columns that ``work`` makes of each batch; columns of these names are replaced."""
+    """docs with columns that ``work`` makes of each batch; columns of these names are replaced.
+
+    With the name of a text column, batches come in slices of bounded size.
+    """
     new = {f.name.lower() for f in fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in new]
     names = [f.name for f in kept]
+    at = docs.columns.index(text) if text else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at) if text else batches:
             made = work(batch)
             old = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(old + made, names + [f.name for f in fields])
