@@ -34,26 +34,16 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT -1L AS conv_id, turn, role, :said AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)",
         args={"said": CONTROL_PROBE},
     )
-    events = rows.unionByName(probe).select(
-        "conv_id",
-        F.col("turn").alias("seq"),
-        F.lit(None).cast("long").alias("message_id"),
-        F.lit("message").alias("op"),
-        "role",
-        "text",
-    )
-    turns = chat_format.read_back(chat_format.format_chats(events))
-    said = F.array_join(
-        F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), ""
-    )
-    return turns.withColumn("said", said).select(
+    events = chat_format.turn_events(rows.unionByName(probe))
+    turns = chat_format.masked_text(chat_format.read_back(chat_format.format_chats(events)))
+    return turns.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(
             F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256
         ).alias("turns_sha256"),
-        F.length("said").cast("long").alias("loss_chars"),
-        F.sha2("said", 256).alias("loss_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
@@ -222,7 +212,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.score(docs, model).select(
         "doc_id",
-        (~toxicity.learns(F.col("doc_id"))).alias("held_out"),
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

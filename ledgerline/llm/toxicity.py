@@ -2,24 +2,31 @@
 
 Features: hashed character n-grams (lengths ``SIZES``) of each distinct
 lower-cased word of a text, with a space at either end; a feature counts the
-distinct words that hold it, over the square root of the number of distinct
+distinct words that hold it, over the fourth root of the number of distinct
 words.  Each feature is scaled by the log ratio of its smoothed shares in toxic
 and other texts, and a logistic regression is trained on the scaled features.
 A word's part in the score is the sum over its n-grams, so it is worked out
 once and kept.
 
 ``fit`` learns from at most ``ROWS_PER_CLASS`` labelled documents of each class
-(those first by hash of their id), weighted back to the labels' own shares.
+(those first by hash of their id), weighted back to the labels' own shares, and
+of each from at most ``BYTES_PER_ROW`` bytes of distinct words (those first by
+hash): the executors cut the words, so what the driver gathers is bounded.
+Every text is scored whole.
 
 Defined cases: null or empty text scores what the intercept says; labels that
 contradict count as toxic; without labels of both classes the score is the
 smoothed share of toxic labels (0.5 without any); rows that repeat are rows of
-their own; other columns pass through, one named as the result is replaced.
+their own and score alike, of rows that repeat an id one is learned from; a null
+doc_id is scored and not held out; very long texts are scored whole; equal scores stay
+equal; an empty table gives no rows; other columns, whatever their names, pass
+through, one named as the result is replaced.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +37,8 @@ from pyspark.sql import types as T
 from .arrow_rows import add_columns
 from .stores import store
 
-ROWS_PER_CLASS = 2500
-BITS, SIZES = 18, (3, 4, 5, 6)
+ROWS_PER_CLASS, BYTES_PER_ROW = 2500, 32_768
+BITS, SIZES, SMOOTHING, LENGTH, RATE = 18, (3, 4, 5, 6), 50.0, 0.25, 0.03
 _STORE, _AT_ONCE = 250_000, 256
 
 
@@ -69,13 +76,15 @@ def train(words: list[list[str]], toxic: np.ndarray, prior: float, epochs: int =
     size = 1 << BITS
     shares = []
     for y in (1, 0):
-        count = np.ones(size)
+        # prior counts in proportion to the class: a feature seen once says little, whichever class is larger
+        share = (toxic == y).mean()
+        count = np.full(size, SMOOTHING * share)
         for f, t in zip(features, toxic, strict=True):
             if t == y:
                 count[np.unique(f)] += 1
-        shares.append(count / ((toxic == y).sum() + 2))
+        shares.append(count / ((toxic == y).sum() + SMOOTHING * share))
     ratio = np.log(shares[0] / shares[1])
-    scale = np.array([1 / np.sqrt(max(1, len(w))) for w in words])
+    scale = np.array([max(1, len(w)) ** -LENGTH for w in words])
     # the sample's classes weigh as the labels' do
     weight = np.where(toxic == 1, prior / max(toxic.mean(), 1e-9), (1 - prior) / max(1 - toxic.mean(), 1e-9))
     beta, bias, seen = np.zeros(size), float(np.log(prior / (1 - prior))), np.full(size, 1e-6)
@@ -92,18 +101,39 @@ def train(words: list[list[str]], toxic: np.ndarray, prior: float, epochs: int =
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic[rows]) * weight[rows] / len(rows)
             step = np.bincount(joined, (error * scale[rows])[owner], size) * ratio + 1e-7 * beta
             seen += step**2
-            beta -= 0.1 * step / np.sqrt(seen)
+            beta -= RATE * step / np.sqrt(seen)
             seen_bias += error.sum() ** 2
-            bias -= 0.1 * error.sum() / np.sqrt(seen_bias)
+            bias -= RATE * error.sum() / np.sqrt(seen_bias)
     return beta * ratio, bias
 
 
-def learns(doc_id: Column, folds: int = 5) -> Column:
-    """True for the documents that labels may be learned from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % folds != 0
+def held_out(doc_id: Column, folds: int = 5) -> Column:
+    """True for the documents whose labels are never learned from; false for a null id, which no label names."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> tuple[np.ndarray, float]:
+def learns(doc_id: Column, folds: int = 5) -> Column:
+    """True for the documents that labels may be learned from."""
+    return ~held_out(doc_id, folds)
+
+
+def _some_words(text: str | None, most: int) -> list[str]:
+    """The distinct words of a text; of more than ``most`` bytes, those first by hash that fit."""
+    words = distinct_words(text)
+    if sum(len(w.encode("utf-8", "surrogatepass")) + 1 for w in words) <= most:
+        return words
+    some, room = [], most
+    for w in sorted(words, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w)):
+        size = len(w.encode("utf-8", "surrogatepass")) + 1
+        if size <= room:
+            some.append(w)
+            room -= size
+    return some
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, bytes_per_row: int = BYTES_PER_ROW
+) -> tuple[np.ndarray, float]:
     """Weights and intercept, from labelled documents for which ``learns`` holds."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(learns(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -113,18 +143,25 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     for y in (0, 1):
         part = known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    ids = {r.doc_id: r.toxic for r in chosen.collect()}  # at most 2 * rows_per_class
     prior = (shares.get(1, 0) + 1) / (total + 2)
+    nothing = np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
     if not (shares.get(0) and shares.get(1)):
-        return np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
-    keys = docs.sparkSession.createDataFrame([(i,) for i in ids], T.StructType([T.StructField("doc_id", T.LongType())]))
-    rows = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id", "left_semi").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text or ""))
-    words = [distinct_words(r.text) for r in rows]
-    toxic = np.array([ids[r.doc_id] for r in rows])
+        return nothing
+    # at most 2 * rows_per_class ids; of an id that repeats, one text
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+    rows = rows.agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            words = [" ".join(_some_words(t.as_py(), bytes_per_row)) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.string())], schema.fieldNames())
+
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["toxic"], T.StructField("words", T.StringType())])
+    found = sorted(rows.mapInArrow(run, schema).collect(), key=lambda r: str(r.doc_id))  # bytes_per_row each at most
+    toxic = np.array([r.toxic for r in found], np.int64)
     if not 0 < toxic.sum() < len(toxic):
-        return np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
-    return train(words, toxic, prior)
+        return nothing
+    return train([r.words.split() for r in found], toxic, prior)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], result: str = "score") -> DataFrame:
@@ -146,7 +183,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], result: str = "score
                 features, owner = grams(new)
                 kept.update(zip(new, np.bincount(owner, shared.value[features], len(new)).tolist(), strict=True))
             for i, w in enumerate(words):
-                z[at + i] = bias + sum([kept[x] for x in w]) / max(1, len(w)) ** 0.5
+                z[at + i] = bias + sum([kept[x] for x in w]) / max(1, len(w)) ** LENGTH
         return [pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))]
 
     return add_columns(docs, [T.StructField(result, T.DoubleType())], work)
