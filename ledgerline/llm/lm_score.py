@@ -20,7 +20,10 @@ that bound, all others are joined with the lexicon and summed by document.
 Defined cases: null or empty text is its end alone; A-Z are lower-cased, words
 are ``[^\\x20\\x09-\\x0D]+``; rows that repeat get one result each; null doc_id is
 not held out (it has no remainder) and is learned from; without training text
-N is 0; an empty table gives no rows; other columns are ignored.
+N is 0; words that tie in frequency are taken or left together by the look-up;
+very long texts are read whole, one at a time, and a very long word is one lattice, in
+time proportional to its length; an empty table gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations

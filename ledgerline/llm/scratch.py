@@ -2,8 +2,8 @@
 
 Lineage is cut by writing a Parquet table and reading it back, so a lost
 executor costs a re-read, never the work that came before.  The folder is the
-one named in ``spark.checkpoint.dir``; only where that is unset (tests, a
-laptop) a folder of our own is made.
+one named in ``spark.checkpoint.dir``; only on a local master (tests, a laptop)
+a folder of our own is made where that is unset, elsewhere that raises.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="ledgerline-"))
     return "file://" + _own[0]

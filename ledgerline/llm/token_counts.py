@@ -8,8 +8,11 @@ would answer is that of the next lower row (see ``answer``).
 
 The histogram has a row for each distinct length.  Its sums run over blocks of
 lengths first and over the lengths of a block then, so no task holds more than
-a block.  Defined cases: null text is empty, with length 0; rows that repeat
-count each; an empty table gives no rows; other columns are ignored.
+a block.  The sums over blocks are one task: its rows grow with the longest
+document (one for each 1,024 tokens), not with their number.  Defined cases:
+null text is empty, with length 0; rows that repeat count each; lengths that
+tie share a row; very long texts are encoded whole, in slices of bounded size; an empty table
+gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
