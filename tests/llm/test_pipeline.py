@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import brute
+import cases
 
 import corpus_pipeline
 
@@ -35,3 +38,23 @@ def test_stages(spark):
         assert all(text[s:e] not in after[i] for s, _, _, e in brute.secrets(text))
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id for r in rows} == set(after)
+    bins = defaultdict(int)
+    for r in rows:
+        bins[r.sequence_id] += r.length
+    assert max(bins.values()) <= 2048 and len(bins) == -(-sum(bins.values()) // 2048)
+
+
+def test_awkward_tables(spark, tmp_path):
+    """Null, empty, very long and repeated texts, and no rows at all, through all stages."""
+    for name, rows in (("odd", cases.TEXTS), ("none", [])):
+        where = str(tmp_path / name)
+        cases.docs(spark, rows).write.parquet(f"{where}/documents.parquet")
+        cases.labels(spark, [(5, 1, 0), (None, 1, 0)] if rows else []).write.parquet(f"{where}/labels.parquet")
+        cases.benchmark(spark, [(1, "nothing of this kind")]).write.parquet(f"{where}/benchmark.parquet")
+        docs = spark.read.parquet(f"{where}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, where)
+            assert docs.columns == cases.docs(spark).columns
+        out = corpus_pipeline.STAGES[-1][1](spark, docs, where).collect()
+        assert {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
+        assert bool(out) == bool(rows)
