@@ -4,8 +4,10 @@ A document is the set of its distinct word shingles.  Two collections of
 ``HALVES`` half keys are made, each key from ``ROWS`` minhashes; a table key is
 a pair of half keys, one from either collection.  So HALVES**2 tables of
 2 * ROWS minhashes each cost 2 * HALVES * ROWS minhashes, about the square root
-of what separate tables would.  At similarity 0.8 a pair meets in some table
-with probability 0.9999.
+of what separate tables would.  A candidate pair must agree in ``AGREE`` of the
+2 * HALVES half keys.  A pair at similarity s agrees in each with probability
+s**ROWS, so it is missed if no half key of one collection agrees or fewer than
+AGREE in all: at 0.8 with probability 9e-5 (``miss`` works it out), at 0.85 4e-6.
 
 1. Signatures: one pass over the texts; equal sets become one class.
 2. A half key that occurs once cannot pair up: only half keys that several
@@ -27,14 +29,20 @@ with probability 0.9999.
 
 Defined cases: text without words, or null, has no shingle and is linked with
 nothing; fewer words than a shingle make one shingle; rows that repeat get one
-result each; a null doc_id is linked with nothing, its component is null and
-it is kept; an empty table gives no rows; other columns are ignored.  Classes
-are told apart by a 64-bit hash of the set.
+result each; of equal members the smallest doc_id stands for the group; a null
+doc_id is linked with nothing, its component is null and it is kept; an empty
+table gives no rows; very long texts are read whole, one at a time; other columns,
+whatever their names, are ignored by ``groups`` and kept by ``deduplicate``.
+Sets are equal if 128 bits of hash over their 64-bit shingles are; classes then
+get 64-bit numbers, and the few that would share one get others.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +56,8 @@ from .stores import store
 ROWS, HALVES, AGREE = 3, 14, 4
 #: A shingle in more open sets than this comes last in the order of prefixes.
 FREQUENT = 32
-_BITS = 1 << 23  # of fixed-size filters; beyond their room they only filter less
+_BITS = 1 << 23  # of the filter for frequent shingles: it settles an order only
+_LEAST, _MOST = 1 << 20, 1 << 28  # bits of other filters, sized by what they hold; beyond that they let more rows pass to an exact join
 _STORE = 250_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -101,21 +110,28 @@ def _half_keys(s: np.ndarray, seeds: np.ndarray, factors: np.ndarray) -> np.ndar
     return ((keys & ~np.uint64(1)) | side).view(np.int64)
 
 
-def _class_id(s: np.ndarray) -> int:
+def _digest(s: np.ndarray) -> bytes:
     import xxhash
 
-    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
+    return xxhash.xxh3_128_digest(s.tobytes())
+
+
+def miss(similarity: float) -> float:
+    """The chance that a pair of this similarity is not among the candidates."""
+    p, n = similarity**ROWS, HALVES
+    one = [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+    return sum(one[i] * one[j] for i in range(n + 1) for j in range(n + 1) if not i or not j or i + j < AGREE)
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, cid (class of equal sets, null without shingles), keys."""
+    """doc_id, text_hash, n_shingles, whole (digest of the set, null without shingles), keys."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     schema = T.StructType(
         [
             rows.schema["doc_id"],
             T.StructField("text_hash", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
-            T.StructField("cid", T.LongType()),
+            T.StructField("whole", T.BinaryType()),
             T.StructField("keys", T.ArrayType(T.LongType(), False)),
         ]
     )
@@ -125,18 +141,18 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            n, cid, keys = [], [], []
+            n, whole, keys = [], [], []
             for data in text_bytes(batch.column(1)):
                 s = shingle_set(data, size)
                 n.append(len(s))
-                cid.append(_class_id(s) if len(s) else None)
+                whole.append(_digest(s) if len(s) else None)
                 keys.append(_half_keys(s, seeds, factors) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
                     pa.array(n, pa.int64()),
-                    pa.array(cid, pa.int64()),
+                    pa.array(whole, pa.binary()),
                     pa.array(keys, pa.list_(pa.field("element", pa.int64(), False))),
                 ],
                 schema.fieldNames(),
@@ -145,56 +161,90 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _filter_bits(values: DataFrame, spot: F.Column) -> np.ndarray:
-    """A bit for each spot (0 to _BITS - 1) that occurs, packed; at most _BITS / 32768 rows of 4 KB reach the driver."""
+def _numbered(classes: DataFrame) -> DataFrame:
+    """classes with cid, a number of its own for each digest."""
+    number, salt = F.xxhash64("whole"), 0
+    while True:
+        numbered = classes.withColumn("cid", number)
+        # digests that share 64 bits: none in practice, n**2 / 2**65 among n are expected
+        twice = [r[0] for r in numbered.groupBy("cid").agg(F.count("*").alias("n")).filter("n > 1").select("cid").collect()]
+        if not twice:
+            return numbered
+        salt += 1
+        number = F.when(number.isin(twice), F.xxhash64("whole", F.lit(salt))).otherwise(number)
+
+
+def _room(n: int) -> int:
+    """Bits of a filter for n keys: eight for each, a power of two."""
+    return min(_MOST, max(_LEAST, 1 << (8 * n).bit_length()))
+
+
+def _filter_bits(values: DataFrame, spot: F.Column, bits: int) -> np.ndarray:
+    """A bit for each spot (0 to bits - 1) that occurs, packed; at most bits / 32768 rows of 4 KB reach the driver."""
     maps = (
         values.select(spot.alias("s"))
         .groupBy(F.floor(F.col("s") / 32768).alias("part"))
         .agg(F.bitmap_construct_agg(F.col("s") % 32768).alias("bits"))
         .collect()
     )
-    table = np.zeros((_BITS // 32768, 4096), np.uint8)
-    for part, bits in maps:
-        table[part] = np.frombuffer(bits, np.uint8)
+    table = np.zeros((bits // 32768, 4096), np.uint8)
+    for part, found in maps:
+        table[part] = np.frombuffer(found, np.uint8)
     return table.reshape(-1)
 
 
 def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """cid, members: the sets of the documents named in wanted (doc_id), with few others."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS))
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted, spot))
+    """cid, members: the sets of the documents named in wanted (doc_id, whole, cid).
+
+    The texts are filtered where they are; only sets are shuffled, and of those
+    few that nobody wants.
+    """
+    bits = _room(wanted.count())
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted, spot, bits))
 
     def run(batches):
-        bits = shared.value
+        table = shared.value
         for batch in batches:
             at = batch.column(0).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 > 0))
-            found = [shingle_set(x, size) for x in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_class_id(s) for s in found], pa.int64()),
-                    pa.array([s.view(np.int64) for s in found], pa.list_(pa.field("element", pa.int64(), False))),
-                ],
-                ["cid", "members"],
-            )
+            batch = batch.filter(pa.array((table[at >> 3] >> (at & 7)) & 1 > 0))
+            for row in range(0, len(batch), 256):
+                part = batch.slice(row, 256)
+                found = [shingle_set(x, size) for x in text_bytes(part.column(2))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(1),
+                        pa.array([_digest(s) for s in found], pa.binary()),
+                        pa.array([s.view(np.int64) for s in found], pa.list_(pa.field("element", pa.int64(), False))),
+                    ],
+                    ["doc_id", "whole", "members"],
+                )
 
     schema = T.StructType(
-        [T.StructField("cid", T.LongType()), T.StructField("members", T.ArrayType(T.LongType(), False))]
+        [
+            docs.schema["doc_id"],
+            T.StructField("whole", T.BinaryType()),
+            T.StructField("members", T.ArrayType(T.LongType(), False)),
+        ]
     )
-    return docs.filter("doc_id IS NOT NULL").select(spot.alias("s"), "text").mapInArrow(run, schema)
+    found = docs.filter("doc_id IS NOT NULL").select(spot.alias("s"), "doc_id", "text").mapInArrow(run, schema)
+    return found.join(wanted, ["doc_id", "whole"]).dropDuplicates(["doc_id", "whole"]).select("cid", "members")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b) those whose similarity is at least percent: u, v."""
+    """Of the candidate pairs (a, b) those whose similarity is at least percent: u, v, each (doc_id, cid)."""
     side = lambda x: classes.select(
-        F.col("cid").alias(x), F.col("keys").alias(f"keys_{x}"), F.col("n_shingles").alias(f"n_{x}")
+        F.col("cid").alias(x),
+        F.col("doc_id").alias(f"doc_{x}"),
+        F.col("keys").alias(f"keys_{x}"),
+        F.col("n_shingles").alias(f"n_{x}"),
     )
     near = (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         .filter(F.expr(f"size(filter(arrays_zip(keys_a, keys_b), k -> k.keys_a = k.keys_b)) >= {AGREE}"))
-        .select("a", "b", "n_a", "n_b")
+        .select("a", "b", "doc_a", "doc_b", "n_a", "n_b")
     )
     whole = lambda x: sets.select(F.col("cid").alias(x), F.col("members").alias(f"set_{x}"))
     return (
@@ -202,7 +252,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
         .join(whole("b"), "b")
         .withColumn("both", F.size(F.array_intersect("set_a", "set_b")))
         .filter(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both")))
-        .select(F.col("a").alias("u"), F.col("b").alias("v"))
+        .select(*[F.struct(F.col(f"doc_{x}").alias("doc_id"), F.col(x).alias("cid")).alias(y) for x, y in ("au", "bv")])
     )
 
 
@@ -245,13 +295,14 @@ def _within_reach(tables: DataFrame, kin: DataFrame, percent: int) -> DataFrame:
     rows = rows.join(sizes.select("bucket", "low"), "bucket")
     least = F.greatest(100 * F.col("low"), percent * F.col("n"))
     rows = rows.filter(100 * (100 + percent) * F.col("share") >= percent * (100 * F.col("n") + least)).drop("low")
-    rank = F.struct((F.col("share") / F.col("n")).alias("s"), (-F.col("cid")).alias("c"))
+    rank = F.struct((F.col("share") / F.col("n")).alias("s"), "cid")
     pivots = rows.groupBy("bucket").agg(F.max_by("cid", rank).alias("pivot"), F.count("*").alias("many")).filter("many > 1")
     return rows.join(pivots.select("bucket", "pivot"), "bucket")
 
 
 def _open(tables: DataFrame, roots: DataFrame) -> DataFrame:
     """bucket, cid, n, share, root of the buckets whose members lie in several components."""
+    roots = roots.select(F.col("node.cid").alias("node"), F.col("root.cid").alias("root"))
     named = tables.select("bucket", "cid", "n", "share").join(roots, F.col("cid") == F.col("node"), "left")
     named = named.select("bucket", "cid", "n", "share", F.coalesce("root", "cid").alias("root"))
     state = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
@@ -279,7 +330,7 @@ def _prefixes(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     held = materialise(held, "open-sets")
     counts = held.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
     spot = F.pmod(F.col("shingle"), F.lit(_BITS))
-    shared = left.sparkSession.sparkContext.broadcast(_filter_bits(counts.filter(F.col("n") > FREQUENT), spot))
+    shared = left.sparkSession.sparkContext.broadcast(_filter_bits(counts.filter(F.col("n") > FREQUENT), spot, _BITS))
     schema = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType(), False)), *[held.schema[c] for c in ("cid", "root", "outside")]])
 
     def run(batches):
@@ -306,18 +357,18 @@ def _pairs(rows: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id (smallest doc_id of the group): a row for each row of docs."""
     signed = materialise(signatures(docs, size), "signatures")
-    classes = materialise(
-        signed.filter("cid IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("cid")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")),
-        "classes",
+    same = (
+        signed.filter("whole IS NOT NULL AND doc_id IS NOT NULL")
+        .groupBy("whole")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
     )
+    classes = _numbered(materialise(same, "classes"))
     raw = materialise(_tables(classes), "tables-all")
     several = raw.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     met = materialise(raw.join(several, "bucket", "left_semi"), "tables-met")
     release(raw)
-    wanted = met.select("cid").distinct().join(classes, "cid").select("doc_id")
-    sets = materialise(_sets(docs, size, wanted).dropDuplicates(["cid"]), "sets")
+    wanted = met.select("cid").distinct().join(classes, "cid").select("doc_id", "whole", "cid")
+    sets = materialise(_sets(docs, size, materialise(wanted, "wanted")), "sets")
     kin = materialise(_shareable(sets), "shareable")
     tables = materialise(_within_reach(met, kin, percent), "tables")
     release(met)
@@ -334,15 +385,15 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         more = materialise(_confirmed(_pairs(met), classes, sets, percent), "links")
         if not more.isEmpty():
             roots = connected(links.unionByName(more))
-    named = classes.select("cid", "doc_id").join(roots, F.col("cid") == F.col("node"), "left")
-    named = named.select("cid", "doc_id", F.coalesce("root", "cid").alias("root"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    names = materialise(named.join(least, "root").select("cid", "component_id"), "components")
+    # a root is the smallest (doc_id, cid) of its component, so it names the group without another join
+    roots = roots.select(F.col("node.cid").alias("cid"), F.col("root.doc_id").alias("least"))
+    names = classes.select("whole", "cid", "doc_id").join(roots, "cid", "left")
+    names = materialise(names.select("whole", F.coalesce("least", "doc_id").alias("component_id")), "components")
     for done in (sets, tables):
         release(done)
     return (
-        signed.select("doc_id", "text_hash", "n_shingles", "cid")
-        .join(names, "cid", "left")
+        signed.select("doc_id", "text_hash", "n_shingles", "whole")
+        .join(names, "whole", "left")
         .select(
             "doc_id",
             "text_hash",
@@ -353,17 +404,38 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each group: that of the smallest doc_id (of equal ones, one)."""
-    found = groups(docs, size, percent)
-    kept = (
-        found.filter("doc_id IS NOT NULL AND n_shingles > 0")
-        .groupBy("component_id")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-        .select("first.*")
+    """docs with one document of each group: that of the smallest doc_id (of equal ones, one).
+
+    A document whose id is its group's name and occurs once stays where it is.
+    Ids that go or occur again are marked in a filter sized by their number; only the
+    rows it marks are shuffled, and settled by an exact join.
+    """
+    found = materialise(groups(docs, size, percent).filter("doc_id IS NOT NULL"), "groups")
+    doubtful = (
+        found.groupBy("doc_id")
+        .agg(F.count("*").alias("n"), F.max(F.col("doc_id") != F.col("component_id")).alias("goes"))
+        .filter("goes OR n > 1")
+    )
+    doubtful = materialise(doubtful.select("doc_id"), "doubtful")
+    bits = _room(doubtful.count())
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(doubtful, spot, bits))
+
+    @F.pandas_udf(T.BooleanType())
+    def marked(at: pd.Series) -> pd.Series:
+        return pd.Series((shared.value[at.to_numpy() >> 3] >> (at.to_numpy() & 7)) & 1 > 0)
+
+    first = found.filter("doc_id = component_id")
+    keep = (
+        first.filter("n_shingles > 0")
+        .groupBy("doc_id")
+        .agg(F.min("text_hash").alias("text_hash"))
+        .unionByName(first.filter("n_shingles = 0").select("doc_id", "text_hash").distinct())
     )
-    single = found.filter("doc_id IS NOT NULL AND n_shingles = 0").select("doc_id", "text_hash").distinct()
-    own, text_hash = fresh(docs, "_id"), fresh(docs, "_text_hash")
-    keep = materialise(kept.unionByName(single).select(F.col("doc_id").alias(own), F.col("text_hash").alias(text_hash)), "kept")
-    rows = docs.withColumns({own: F.col("doc_id"), text_hash: F.xxhash64("text")})
-    named = rows.join(keep, [own, text_hash], "left_semi").dropDuplicates([own, text_hash])
-    return named.unionByName(rows.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    own, text_hash, mark = (fresh(docs, x) for x in ("_id", "_text_hash", "_marked"))
+    keep = materialise(keep.select(F.col("doc_id").alias(own), F.col("text_hash").alias(text_hash)), "kept")
+    rows = docs.withColumn(mark, F.col("doc_id").isNotNull() & marked(spot))
+    stay = rows.filter(~F.col(mark))
+    settled = rows.filter(F.col(mark)).withColumns({own: F.col("doc_id"), text_hash: F.xxhash64("text")})
+    settled = settled.join(keep, [own, text_hash], "left_semi").dropDuplicates([own, text_hash])
+    return stay.select(*docs.columns).unionByName(settled.select(*docs.columns))
