@@ -16,8 +16,9 @@ The k-th largest sum is found by narrowing histograms, then exactly.
 
 Defined cases: null or empty text has weight 0; documents that tie with the
 k-th are kept; rows that repeat tie; a null doc_id draws noise as an id of its
-own; without good labels everything is kept; labels that contradict count as bad; an
-empty table gives no rows.
+own; without good labels everything is kept; labels that contradict count as
+bad; very long texts are read whole, one at a time; other columns, whatever their names, are
+ignored by ``resample`` and kept by ``select``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -161,13 +162,11 @@ def resample(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFram
 def select(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> DataFrame:
     """The rows of docs that are kept.
 
-    The texts are weighed twice, once for the cutoff and once to be filtered where
-    they are: that moves no text, a join with the kept ids would move all.
+    The rows are written beside their keys, so texts are weighed once and
+    filtered where they are; a join with the kept ids would move all of them.
     """
-    ratios = fit(docs, labels)
-    keyed = materialise(_keyed(docs.select("doc_id", "text"), ratios).drop("text"), "importance")
-    cut = _cut(keyed, labels, loss)
-    if cut is None:
-        return docs
-    key = fresh(docs, "_gumbel_key")
-    return _keyed(docs, ratios, fresh(docs, "_log_weight"), key).filter(F.col(key) >= cut).select(*docs.columns)
+    weight, key = fresh(docs, "_log_weight"), fresh(docs, "_gumbel_key")
+    keyed = materialise(_keyed(docs, fit(docs, labels), weight, key), "importance")
+    small = keyed.select("doc_id", F.col(weight).alias("_log_weight"), F.col(key).alias("_gumbel_key"))
+    cut = _cut(small, labels, loss)
+    return (keyed if cut is None else keyed.filter(F.col(key) >= cut)).select(*docs.columns)
