@@ -14,9 +14,11 @@ the nearest part of each role before and after as running extremes, so no
 pairs are made.  Only candidates are shuffled (a few bytes for each), never
 the texts; a task holds the candidates of one document at a time.
 
-Defined cases: null text is empty; empty texts have no spans; rows that repeat
-keep one result each; null doc_id is an id like another; an empty table gives
-no rows; other columns are ignored by ``scan`` and kept by ``redact``.
+Defined cases: null text is empty; empty texts have no spans; very long texts
+are searched whole, one at a time; spans that begin at one place come in the order of
+``KINDS``; rows that repeat keep one result each; null doc_id is an id like
+another; an empty table gives no rows; other columns, whatever their names, are
+ignored by ``scan`` and kept by ``redact``.
 Places are code points, ends exclusive.
 """
 
@@ -25,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import materialise
+
 SCOPE = 200
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind -> (role, weak, pattern, group whose length counts, least length), in the order in which spans at one place are listed.
@@ -136,12 +140,14 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 def redact(docs: DataFrame, scope: int = SCOPE, mask: str = "[SECRET]") -> DataFrame:
     """docs with every reported span replaced by ``mask`` (n_chars follows, if there).
 
-    Documents without a candidate pass untouched and unshuffled; the others
-    carry their text along with the first of their candidates.
+    The texts are searched once and written beside their candidates.  Documents
+    without a candidate pass untouched and unshuffled; the others carry their
+    text along with the first of their candidates.
     """
     columns = docs.columns
     rows = docs.select(F.struct(*columns).alias("row"), "doc_id", "text")  # other columns can't clash in there
-    found = _keyed(rows).withColumn("candidates", _candidates(F.col("body")))
+    found = _keyed(rows).select("key", "row", _candidates(F.col("body")).alias("candidates"))
+    found = materialise(found, "candidates")
     clean = found.filter(F.size("candidates") == 0).select("row.*")
     row = found.filter(F.size("candidates") > 0).select("key", "row", "candidates")
     spans = _spans(row, "row", scope)
