@@ -85,16 +85,10 @@ def adjudicate(left_id: Column, right_id: Column) -> Column:
 
 
 def succession(old: Column, new: Column) -> Column:
-    """Kind of an organisation change by how many stand before and after."""
-    n, m = F.size(old), F.size(new)
-    return (
-        F.when((n == 0) & (m > 0), "creation")
-        .when((n > 0) & (m == 0), "dissolution")
-        .when((n == 1) & (m == 1), "succession")
-        .when((n > 1) & (m == 1), "merger")
-        .when((n == 1) & (m > 1), "split")
-        .otherwise("reorganisation")
-    )
+    """Cardinality of an organisation change: how many stand before and after, UNRESOLVED if one side is empty or null."""
+    n, m = (F.coalesce(F.size(x), F.lit(0)) for x in (old, new))
+    side = lambda k: F.when(k == 1, "1").otherwise("N")
+    return F.when((n <= 0) | (m <= 0), "UNRESOLVED").otherwise(F.concat_ws(":", side(n), side(m)))
 
 
 def materialisation(there: Column, rows: Column, least: int, fixture: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import fold
+
 
 def _flag(c: Column, points: float) -> Column:
     return F.when(c, F.lit(points)).otherwise(F.lit(0.0))
@@ -86,8 +88,8 @@ def match_decision(score: Column, shares_id: Column, disagrees: Column) -> Colum
     """Merges are automatic only with an agreeing authoritative identifier."""
     return (
         F.when((score >= 0.95) & shares_id & ~disagrees, "auto_merge")
-        .when(score >= 0.85, "suggested")
-        .when(score >= 0.65, "possible")
+        .when(score >= 0.85, "suggested_merge")
+        .when(score >= 0.65, "possible_relationship")
         .otherwise("separate")
     )
 
@@ -131,8 +133,22 @@ STAGE_WORDS: list[tuple[int, tuple[str, ...]]] = [
 ]
 
 
-def project_stage(c: Column) -> Column:
-    return first_keyword(F.lower(c), STAGE_WORDS, 0)
+# Source datasets that place a record at a stage at least.
+STAGE_SOURCES: dict[int, tuple[str, ...]] = {
+    3: ("aaafa", "cor3", "fema", "cdbg_dr", "hud", "doe", "preb", "luma", "prepa", "genera"),
+    2: ("ogpe", "junta_planificacion", "planning", "drna", "epa", "municipio_records"),
+}
+
+
+def project_stage(c: Column, source: Column | None = None) -> Column:
+    """The latest stage that a word of the text, or the source dataset, speaks of."""
+    by_word = first_keyword(F.lower(c), STAGE_WORDS, 0)
+    if source is None:
+        return by_word
+    of_source = F.lit(0)
+    for stage, names in STAGE_SOURCES.items():
+        of_source = F.when(F.lower(source).isin(*names), stage).otherwise(of_source)
+    return F.greatest(by_word, of_source)
 
 
 def alert_level(score: Column, families: Column, stage: Column, amount: Column) -> Column:
@@ -142,12 +158,22 @@ def alert_level(score: Column, families: Column, stage: Column, amount: Column)
     return F.when((level == "critical") & ~sure, "urgent").otherwise(level)
 
 
-# Kinds of entity by words in the name, first that fits.
+# Kinds of entity by words in the name, first that fits; accents are folded before.
 ENTITY_WORDS: list[tuple[str, tuple[str, ...]]] = [
-    ("aggregate", ("ALL RECIPIENTS", "MULTIPLE RECIPIENTS", "UNDISCLOSED", "VARIOUS RECIPIENTS")),
-    ("government", ("ADMINISTRACION", "AGENCIA", "AUTORIDAD", "COMMONWEALTH OF", "DEPARTAMENTO", "DEPARTMENT OF", "GOBIERNO DE", "GOVERNMENT OF", "HACIENDA", "MUNICIPIO", "MUNICIPALITY OF", "OFICINA DE", "SECRETARIA", "TRIBUNAL")),
-    ("nonprofit", ("CHURCH", "COLLEGE", "COOPERATIVA", "FOUNDATION", "FUNDACION", "IGLESIA", "NONPROFIT", "UNIVERSIDAD", "UNIVERSITY")),
-]
+    ("aggregate", ("MULTIPLE RECIPIENTS", "VARIOUS RECIPIENTS", "ALL RECIPIENTS", "UNDISCLOSED")),
+    ("government", (
+        "DEPARTMENT OF", "DEPARTAMENTO DE", "DEPT OF", "ADMINISTRACION", "ADMINISTRATION OF", "AUTORIDAD", "AUTHORITY OF",
+        "MUNICIPIO", "MUNICIPALITY OF", "MUNICIPALIDAD", "GOVERNMENT OF", "GOBIERNO DE", "GOVERNOR'S", "COMMONWEALTH OF",
+        "ESTADO LIBRE ASOCIADO", "SECRETARIA", "JUNTA DE", "JUNTA OF", "OFICINA DE", "TRIBUNAL", "POLICIA",
+        "POLICE DEPARTMENT", "HACIENDA", "CONSEJO DE", "DEPARTAMENTO", "AGENCIA",
+    )),
+    ("nonprofit", (
+        "UNIVERSITY", "UNIVERSIDAD", "COLLEGE", "ESCUELA GRADUADA", "FOUNDATION", "FUNDACION", "IGLESIA", "CHURCH",
+        "CATHEDRAL", "NONPROFIT", "NON-PROFIT", "COOPERATIVE", "COOPERATIVA",
+    )),
+]
+# What follows the comma in the name of a firm.
+FIRM_SUFFIXES = ("LLC", "INC", "CORP", "SA", "CSP", "LTD", "PSC", "CO", "S.A.", "SRL")
 # One-letter codes of committees.
 COMMITTEES = {
     "H": "CAMPAIGN_COMMITTEE", "N": "PAC", "O": "SUPER_PAC", "P": "CAMPAIGN_COMMITTEE", "Q": "PAC", "S": "CAMPAIGN_COMMITTEE",
@@ -156,8 +182,14 @@ COMMITTEES = {
 
 
 def entity_kind(c: Column) -> Column:
-    name = F.upper(F.trim(c))
-    return F.when(F.coalesce(name, F.lit("")) == "", "unknown").otherwise(first_keyword(name, ENTITY_WORDS, "corporate"))
+    """Kind of an entity by its name; "SURNAME, NAME" without a firm's suffix is a person."""
+    name = F.trim(F.upper(fold(F.coalesce(c, F.lit("")))))
+    before = F.trim(F.substring_index(name, ",", 1))
+    after = F.trim(name.substr(F.instr(name, ",") + 1, F.length(name)))
+    words = lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda w: w != ""))
+    person = name.contains(",") & (words(before) <= 2) & (words(after) <= 3) & (keyword_hits(after, FIRM_SUFFIXES) == 0)
+    other = F.when(person, "individual").otherwise("corporate")
+    return F.when(name == "", "unknown").otherwise(F.coalesce(F.nullif(first_keyword(name, ENTITY_WORDS, ""), F.lit("")), other))
 
 
 def committee_kind(said: Column, code: Column) -> Column:

@@ -33,7 +33,7 @@ def page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFra
 
 
 # Weight of each family of risk signals, and of each severity.
-FAMILIES = {"concentration": 1.0, "repeat": 0.7, "opacity": 0.8, "parent": 1.0, "political": 0.6, "bond": 0.5, "geography": 0.4, "lineage": 0.3}
+FAMILIES = {"concentration": 1.0, "repeat_awards": 0.7, "subaward_opacity": 0.8, "parent_sub_mismatch": 1.0, "political_overlap": 0.6, "bond_contract_overlap": 0.5, "geographic_clustering": 0.4, "stale_lineage": 0.3}
 SEVERITIES = {"high": 1.0, "medium": 0.6, "low": 0.3}
 SIGNAL_COLUMNS = ["family", "subject_type", "subject", "severity", "confidence", "value"]
 
@@ -63,12 +63,14 @@ def subject_scores(all_signals: DataFrame, subject_types: list[str], divisor: fl
 
 
 # Names that stand for nobody.
-PLACEHOLDERS = ("", "-", "ANONYMOUS", "N/A", "NA", "NONE", "NOT AVAILABLE", "NULL", "UNKNOWN", "VARIOUS")
+PLACEHOLDERS = (
+    "NONE", "YES", "NO", "N/A", "NA", "UNKNOWN", "RETIRED", "SELF EMPLOYED", "SELF-EMPLOYED", "INDEPENDENT CONTRACTOR",
+)
 
 
 def quarantine(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Kept rows, and rows whose name is a placeholder."""
-    bad = F.upper(F.trim(F.coalesce(F.col(name), F.lit("")))).isin(*PLACEHOLDERS)
+    """Kept rows, and rows whose name is a placeholder, in any case and spacing; blank names are kept."""
+    bad = F.upper(F.trim(F.regexp_replace(F.coalesce(F.col(name), F.lit("")), r"\s+", " "))).isin(*PLACEHOLDERS)
     return df.filter(~bad), df.filter(bad)
 
 

@@ -178,24 +178,12 @@ def anchor_status(spark, sf_dir):
     return joins.anchor(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", tables)
 
 
-@query("""
-SELECT coalesce(a.k, b.k) AS nation, a.n AS suppliers, b.n AS customers,
-  CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'supplier' ELSE 'customer' END AS provenance
-FROM (SELECT s_nationkey AS k, count(*) AS n FROM supplier WHERE s_nationkey % 3 > 0 GROUP BY 1) a
-FULL JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey % 4 > 0 GROUP BY 1) b ON a.k = b.k
-""")
-def outer_bridge(spark, sf_dir):
-    a = table(spark, sf_dir, "supplier").filter("s_nationkey % 3 > 0").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("suppliers"))
-    b = table(spark, sf_dir, "customer").filter("c_nationkey % 4 > 0").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("customers"))
-    return joins.bridge(a, b, "nation", "supplier", "customer")
-
-
 @query("""
 SELECT coalesce(a.k, b.k) AS nation, a.n AS suppliers, b.n AS customers,
   CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'supplier' ELSE 'customer' END AS provenance
 FROM (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) a FULL JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1) b ON a.k = b.k
 """)
-def whole_outer_bridge(spark, sf_dir):
+def outer_bridge(spark, sf_dir):
     """outer_bridge over all nations."""
     a = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("suppliers"))
     b = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("customers"))
@@ -224,28 +212,13 @@ def any_key_join(spark, sf_dir):
     return joins.any_key(c, "c_custkey", ["name_key", "id_key"], index, "vendor", "ord").select("c_custkey", "matched_place", "vendor")
 
 
-@query("""
-SELECT p.p_partkey AS project, q.p_partkey AS segment, round(greatest(least(p.p_retailprice + 30, q.p_retailprice + 12.5) - greatest(p.p_retailprice, q.p_retailprice), 0) / 12.5, 4) AS share
-FROM part p JOIN part q ON p.p_brand = q.p_brand AND p.p_partkey % 4 = 0 AND q.p_partkey % 4 = 1
-  AND p.p_retailprice <= q.p_retailprice + 12.5 AND q.p_retailprice <= p.p_retailprice + 30
-WHERE greatest(least(p.p_retailprice + 30, q.p_retailprice + 12.5) - greatest(p.p_retailprice, q.p_retailprice), 0) / 12.5 >= 0.2
-""")
-def overlap_join(spark, sf_dir):
-    """Projects against road segments of one route, at least a fifth covered."""
-    p = table(spark, sf_dir, "part")
-    a = p.filter("p_partkey % 4 = 0").select(F.col("p_partkey").alias("project"), F.col("p_brand").alias("route"), F.col("p_retailprice").alias("lo"), (F.col("p_retailprice") + 30).alias("hi"))
-    b = p.filter("p_partkey % 4 = 1").select(F.col("p_partkey").alias("segment"), F.col("p_brand").alias("route"), F.col("p_retailprice").alias("slo"), (F.col("p_retailprice") + 12.5).alias("shi"))
-    share = values.overlap_share(F.col("lo"), F.col("hi"), F.col("slo"), F.col("shi"))
-    return joins.overlap(a, b, "route", "lo", "hi", "slo", "shi", 50.0).withColumn("s", share).filter("s >= 0.2").select("project", "segment", F.round("s", 4).alias("share"))
-
-
 @query("""
 SELECT p.p_partkey AS project, q.p_partkey AS segment, round(greatest(least(p.p_retailprice + 30, q.p_retailprice + 12.5) - greatest(p.p_retailprice, q.p_retailprice), 0) / 12.5, 4) AS share
 FROM part p JOIN part q ON p.p_brand = q.p_brand AND p.p_partkey <> q.p_partkey
   AND p.p_retailprice <= q.p_retailprice + 12.5 AND q.p_retailprice <= p.p_retailprice + 30
 WHERE greatest(least(p.p_retailprice + 30, q.p_retailprice + 12.5) - greatest(p.p_retailprice, q.p_retailprice), 0) / 12.5 >= 0.2
 """)
-def whole_overlap_join(spark, sf_dir):
+def overlap_join(spark, sf_dir):
     """overlap_join with all parts on both sides."""
     p = table(spark, sf_dir, "part")
     a = p.select(F.col("p_partkey").alias("project"), F.col("p_brand").alias("route"), F.col("p_retailprice").alias("lo"), (F.col("p_retailprice") + 30).alias("hi"))
@@ -301,25 +274,8 @@ def join_cardinality(spark, sf_dir):
     return joins.cardinality(o, table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "k")
 
 
-@query("""
-WITH l AS (SELECT DISTINCT p_partkey AS a, p_name || ' ' || p_brand || ' ' || p_type AS t FROM part WHERE p_partkey % 20 = 0),
-r AS (SELECT DISTINCT p_partkey AS b, p_name || ' ' || p_brand || ' ' || p_type AS t FROM part WHERE p_partkey % 20 = 7),
-x AS (SELECT a, b, round(len(list_intersect(list_distinct(string_split(l.t, ' ')), list_distinct(string_split(r.t, ' '))))
-  / len(list_distinct(string_split(l.t || ' ' || r.t, ' '))), 4) AS score FROM l, r),
-k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS j FROM x WHERE score >= 0.6)
-SELECT a AS vendor, b AS registered, score FROM k WHERE j = 1
-""")
-def fuzzy_best(spark, sf_dir):
-    """The best registered name of token Jaccard 0.6 or more, by prefix filtering."""
-    words = similarity.tokens(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
-    p = table(spark, sf_dir, "part")
-    a = p.filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("vendor"), words.alias("x"))
-    b = p.filter("p_partkey % 20 = 7").select(F.col("p_partkey").alias("registered"), words.alias("y"))
-    return joins.jaccard_best(a, b, "vendor", "registered", "x", "y", 0.6).withColumn("score", F.round("score", 4))
-
-
 @query()
-def whole_fuzzy_best(spark, sf_dir):
+def fuzzy_best(spark, sf_dir):
     """fuzzy_best with all parts on both sides: each part's best other part (a cross join in SQL; tests compare by brute force)."""
     words = similarity.tokens(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("vendor"), words.alias("x"))
@@ -376,7 +332,7 @@ def link_confidence(spark, sf_dir):
 WITH f AS (SELECT c_custkey AS k, c_custkey % 3 = 0 AS e, (c_custkey % 11) / 10.0 AS n, c_custkey % 5 = 0 AS a FROM customer),
 s AS (SELECT k, e, n, a, round(CASE WHEN e THEN least(0.6 + least(n, 1) * 0.55 + CASE WHEN a THEN 0.35 ELSE 0 END, 1)
   ELSE least(least(least(n, 1) * 0.55 + CASE WHEN a THEN 0.35 ELSE 0 END, 1), 0.9) END, 4) AS score FROM f)
-SELECT k AS c_custkey, CAST(score AS DOUBLE) AS score, CASE WHEN score >= 0.95 AND e THEN 'auto_merge' WHEN score >= 0.85 THEN 'suggested' WHEN score >= 0.65 THEN 'possible' ELSE 'separate' END AS decision FROM s
+SELECT k AS c_custkey, CAST(score AS DOUBLE) AS score, CASE WHEN score >= 0.95 AND e THEN 'auto_merge' WHEN score >= 0.85 THEN 'suggested_merge' WHEN score >= 0.65 THEN 'possible_relationship' ELSE 'separate' END AS decision FROM s
 """)
 def match_score_band(spark, sf_dir):
     k = F.col("c_custkey")
@@ -454,3 +410,16 @@ def watchlist_matches(spark, sf_dir):
     hit = words.join(keyed.filter(F.size(runs(F.col("w"))) > 2), "key").filter(F.contains("t", "w")).select("doc_id", "item_id")
     short = keyed.filter(F.size(runs(F.col("w"))) <= 2)
     return hit.unionByName(d.join(short, F.contains("t", "w")).select("doc_id", "item_id")).distinct()
+
+
+@query("""
+WITH n AS (SELECT c_custkey, CASE c_custkey % 9 WHEN 0 THEN 'Dept of Roads ' WHEN 1 THEN 'FUNDACIÓN ' WHEN 2 THEN 'Rivera, Juan ' WHEN 3 THEN 'Acme, LLC ' WHEN 4 THEN 'Varios ' WHEN 5 THEN 'Undisclosed ' WHEN 6 THEN ' '
+  WHEN 7 THEN 'Junta de Planificación ' ELSE 'Catedral, de la Ciudad de San ' END || CASE WHEN c_custkey % 9 = 6 THEN '' ELSE c_name END AS name FROM customer)
+SELECT c_custkey, CASE c_custkey % 9 WHEN 0 THEN 'government' WHEN 1 THEN 'nonprofit' WHEN 2 THEN 'individual' WHEN 5 THEN 'aggregate' WHEN 6 THEN 'unknown' WHEN 7 THEN 'government' ELSE 'corporate' END AS kind FROM n
+""")
+def entity_kinds(spark, sf_dir):
+    """Kinds of entity by their names."""
+    heads = ("Dept of Roads ", "FUNDACIÓN ", "Rivera, Juan ", "Acme, LLC ", "Varios ", "Undisclosed ", " ", "Junta de Planificación ", "Catedral, de la Ciudad de San ")
+    head = F.get(F.array(*[F.lit(h) for h in heads]), (F.col("c_custkey") % 9).cast("int"))
+    name = F.concat(head, F.when(F.col("c_custkey") % 9 == 6, "").otherwise(F.col("c_name")))
+    return table(spark, sf_dir, "customer").select("c_custkey", scores.entity_kind(name).alias("kind"))

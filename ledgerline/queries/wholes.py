@@ -14,8 +14,6 @@ from ..streaming import incremental
 from .registry import query, table
 
 _EDGES = """e AS (SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS weight, CAST(max(l_linenumber) AS INTEGER) AS tier FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey WHERE (s_nationkey * 7 + c_nationkey * 3) % 19 = 0 GROUP BY 1, 2)"""
-_ALL_EDGES = """e AS (SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS weight, CAST(max(l_linenumber) AS INTEGER) AS tier FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
 
 
@@ -29,17 +27,12 @@ def _edges(spark, sf_dir):
     return rows.groupBy("src", "dst").agg(F.count("*").alias("weight"), F.max("l_linenumber").alias("tier"))
 
 
-def _thinned(spark, sf_dir):
-    """The part of the edges that the SQL of _EDGES reads; the queries named whole_ read all."""
-    return _edges(spark, sf_dir).filter("(src * 7 + dst * 3) % 19 = 0")
-
-
 _SIGNALS = """sp AS (SELECT l_suppkey, sum(l_extendedprice) / (SELECT sum(l_extendedprice) FROM lineitem) AS share FROM lineitem GROUP BY 1),
 sig AS (SELECT 'concentration' AS family, 'entity' AS subject_type, 'S' || l_suppkey AS subject, CASE WHEN share >= 0.0115 THEN 'high' ELSE 'medium' END AS severity, CAST(0.9 AS DOUBLE) AS confidence, round(share, 6) AS value FROM sp WHERE share >= 0.0105
- UNION ALL SELECT 'repeat', 'entity', 'C' || o_custkey, 'medium', 0.85, count(*) FROM orders GROUP BY o_custkey HAVING count(*) >= 18
- UNION ALL SELECT 'opacity', 'chain', 'O' || o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'high' ELSE 'low' END, greatest(0.1, (o_orderkey % 8) / 10.0), o_totalprice FROM orders WHERE o_totalprice > 480000
- UNION ALL SELECT 'political', 'entity', 'C' || c_custkey, 'medium', 0.8, c_acctbal FROM customer WHERE c_acctbal > 9500
- UNION ALL SELECT 'geography', 'municipality', 'N' || c_nationkey, 'medium', 0.8, round(count(*) / (SELECT count(*) FROM customer), 6) FROM customer GROUP BY c_nationkey HAVING count(*) / (SELECT count(*) FROM customer) >= 0.045)"""
+ UNION ALL SELECT 'repeat_awards', 'entity', 'C' || o_custkey, 'medium', 0.85, count(*) FROM orders GROUP BY o_custkey HAVING count(*) >= 18
+ UNION ALL SELECT 'subaward_opacity', 'chain', 'O' || o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'high' ELSE 'low' END, greatest(0.1, (o_orderkey % 8) / 10.0), o_totalprice FROM orders WHERE o_totalprice > 480000
+ UNION ALL SELECT 'political_overlap', 'entity', 'C' || c_custkey, 'medium', 0.8, c_acctbal FROM customer WHERE c_acctbal > 9500
+ UNION ALL SELECT 'geographic_clustering', 'municipality', 'N' || c_nationkey, 'medium', 0.8, round(count(*) / (SELECT count(*) FROM customer), 6) FROM customer GROUP BY c_nationkey HAVING count(*) / (SELECT count(*) FROM customer) >= 0.045)"""
 
 
 def _signals(spark, sf_dir):
@@ -50,10 +43,10 @@ def _signals(spark, sf_dir):
     again = o.groupBy("o_custkey").agg(F.count("*").alias("n")).filter("n >= 18")
     return [
         products.signals("concentration", "entity", share, name("S", "l_suppkey"), F.when(F.col("share") >= 0.0115, "high").otherwise("medium"), F.lit(0.9), F.round("share", 6)),
-        products.signals("repeat", "entity", again, name("C", "o_custkey"), F.lit("medium"), F.lit(0.85), F.col("n")),
-        products.signals("opacity", "chain", o.filter("o_totalprice > 480000"), name("O", "o_orderkey"), F.when(F.col("o_orderkey") % 2 == 0, "high").otherwise("low"), F.greatest(F.lit(0.1), (F.col("o_orderkey") % 8) / 10), F.col("o_totalprice")),
-        products.signals("political", "entity", c.filter("c_acctbal > 9500"), name("C", "c_custkey"), F.lit("medium"), F.lit(0.8), F.col("c_acctbal")),
-        products.signals("geography", "municipality", places, name("N", "c_nationkey"), F.lit("medium"), F.lit(0.8), F.round("share", 6)),
+        products.signals("repeat_awards", "entity", again, name("C", "o_custkey"), F.lit("medium"), F.lit(0.85), F.col("n")),
+        products.signals("subaward_opacity", "chain", o.filter("o_totalprice > 480000"), name("O", "o_orderkey"), F.when(F.col("o_orderkey") % 2 == 0, "high").otherwise("low"), F.greatest(F.lit(0.1), (F.col("o_orderkey") % 8) / 10), F.col("o_totalprice")),
+        products.signals("political_overlap", "entity", c.filter("c_acctbal > 9500"), name("C", "c_custkey"), F.lit("medium"), F.lit(0.8), F.col("c_acctbal")),
+        products.signals("geographic_clustering", "municipality", places, name("N", "c_nationkey"), F.lit("medium"), F.lit(0.8), F.round("share", 6)),
     ]
 
 
@@ -63,7 +56,7 @@ def risk_signals(spark, sf_dir):
     return products.union_all(_signals(spark, sf_dir))
 
 
-@query(f"""WITH {_SIGNALS}, w AS (SELECT subject, family, sum(CASE family WHEN 'concentration' THEN 1.0 WHEN 'repeat' THEN 0.7 WHEN 'opacity' THEN 0.8 ELSE 0.6 END
+@query(f"""WITH {_SIGNALS}, w AS (SELECT subject, family, sum(CASE family WHEN 'concentration' THEN 1.0 WHEN 'repeat_awards' THEN 0.7 WHEN 'subaward_opacity' THEN 0.8 ELSE 0.6 END
   * CASE severity WHEN 'high' THEN 1.0 WHEN 'medium' THEN 0.6 ELSE 0.3 END * confidence) AS w, count(*) AS n FROM sig WHERE subject_type IN ('entity', 'chain') GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY round(w, 9) DESC, family) AS j FROM w)
 SELECT subject, CAST(least(1, round(sum(w) / 8, 4)) AS DOUBLE) AS score, CAST(sum(n) AS BIGINT) AS n_signals, max(CASE WHEN j = 1 THEN family END) AS dominant_family FROM k GROUP BY subject""")
@@ -126,46 +119,26 @@ def entity_profiles(spark, sf_dir):
 
 @query(f"WITH {_EDGES}, x AS (SELECT src AS node, 1 AS o, weight, tier FROM e UNION ALL SELECT dst, 0, weight, tier FROM e) SELECT node, count(*) AS degree, CAST(sum(o) AS BIGINT) AS n_out, CAST(sum(1 - o) AS BIGINT) AS n_in, CAST(sum(weight) AS BIGINT) AS weight, max(tier) AS worst_tier FROM x GROUP BY node")
 def edge_metrics(spark, sf_dir):
-    return graph.node_metrics(_thinned(spark, sf_dir))
-
-
-@query(f"""WITH RECURSIVE {_EDGES}, p(origin, terminal, hops, path, seen) AS (SELECT src, dst, 1, src || ' > ' || dst, [src, dst] FROM e WHERE src < 5 AND src <> dst
-  UNION ALL SELECT origin, e.dst, hops + 1, path || ' > ' || e.dst, list_append(seen, e.dst) FROM p JOIN e ON p.terminal = e.src WHERE hops < 3 AND NOT list_contains(seen, e.dst))
-SELECT origin, terminal, hops, path FROM p""")
-def flow_paths(spark, sf_dir):
-    """Simple paths of at most three hops from some origins."""
-    e = _thinned(spark, sf_dir)
-    return graph.simple_paths(e, e.filter("src < 5").select(F.col("src").alias("node")).distinct(), 3)
-
-
-@query(f"""WITH RECURSIVE {_EDGES}, r(src, dst, hops) AS (SELECT src, dst, 1 FROM e UNION SELECT r.src, e.dst, hops + 1 FROM r JOIN e ON r.dst = e.src WHERE hops < 4)
-SELECT src AS node, CAST(min(hops) AS INTEGER) AS hops FROM r WHERE src = dst GROUP BY src""")
-def cycle_check(spark, sf_dir):
-    return graph.cycles(_thinned(spark, sf_dir), 4)
-
-
-@query(f"WITH {_ALL_EDGES}, x AS (SELECT src AS node, 1 AS o, weight, tier FROM e UNION ALL SELECT dst, 0, weight, tier FROM e) SELECT node, count(*) AS degree, CAST(sum(o) AS BIGINT) AS n_out, CAST(sum(1 - o) AS BIGINT) AS n_in, CAST(sum(weight) AS BIGINT) AS weight, max(tier) AS worst_tier FROM x GROUP BY node")
-def whole_edge_metrics(spark, sf_dir):
     return graph.node_metrics(_edges(spark, sf_dir))
 
 
-@query(f"""WITH RECURSIVE {_ALL_EDGES}, p(origin, terminal, hops, path, seen) AS (SELECT src, dst, 1, src || ' > ' || dst, [src, dst] FROM e WHERE src <> dst
+@query(f"""WITH RECURSIVE {_EDGES}, p(origin, terminal, hops, path, seen) AS (SELECT src, dst, 1, src || ' > ' || dst, [src, dst] FROM e WHERE src <> dst
   UNION ALL SELECT origin, e.dst, hops + 1, path || ' > ' || e.dst, list_append(seen, e.dst) FROM p JOIN e ON p.terminal = e.src WHERE hops < 3 AND NOT list_contains(seen, e.dst))
 SELECT origin, terminal, hops, path FROM p""")
-def whole_flow_paths(spark, sf_dir):
+def flow_paths(spark, sf_dir):
     """Simple paths of at most three hops from every origin."""
     e = _edges(spark, sf_dir)
     return graph.simple_paths(e, e.select(F.col("src").alias("node")).distinct(), 3)
 
 
 @query()
-def whole_cycle_check(spark, sf_dir):
+def cycle_check(spark, sf_dir):
     """Nodes on cycles of any length."""
     return graph.cycles(_edges(spark, sf_dir))
 
 
-@query(f"WITH {_ALL_EDGES}, x AS (SELECT src || '-' || (dst % 9) AS edge_id, src, dst FROM e) SELECT edge_id, 'orphan_src' AS fault FROM x WHERE src % 6 = 0 UNION ALL SELECT edge_id, 'orphan_dst' FROM x WHERE dst % 6 = 0 UNION ALL SELECT edge_id, 'self_loop' FROM x WHERE src = dst UNION ALL SELECT edge_id, 'duplicate' FROM x GROUP BY edge_id HAVING count(*) > 1")
-def whole_graph_faults(spark, sf_dir):
+@query(f"WITH {_EDGES}, x AS (SELECT src || '-' || (dst % 9) AS edge_id, src, dst FROM e) SELECT edge_id, 'orphan_src' AS fault FROM x WHERE src % 6 = 0 UNION ALL SELECT edge_id, 'orphan_dst' FROM x WHERE dst % 6 = 0 UNION ALL SELECT edge_id, 'self_loop' FROM x WHERE src = dst UNION ALL SELECT edge_id, 'duplicate' FROM x GROUP BY edge_id HAVING count(*) > 1")
+def graph_faults(spark, sf_dir):
     e = _edges(spark, sf_dir).withColumn("edge_id", F.concat_ws("-", F.col("src").cast("string"), (F.col("dst") % 9).cast("string")))
     return graph.edge_faults(e, table(spark, sf_dir, "nation").filter("n_nationkey % 6 > 0").select(F.col("n_nationkey").alias("node")))
 
@@ -200,12 +173,6 @@ def ownership_rollup(spark, sf_dir):
     return rows.groupBy(owner.alias("owner")).agg(F.count("*").alias("positions"), F.round(F.sum("s_acctbal"), 2).alias("value"))
 
 
-@query(f"WITH {_EDGES}, x AS (SELECT src || '-' || (dst % 9) AS edge_id, src, dst FROM e) SELECT edge_id, 'orphan_src' AS fault FROM x WHERE src % 6 = 0 UNION ALL SELECT edge_id, 'orphan_dst' FROM x WHERE dst % 6 = 0 UNION ALL SELECT edge_id, 'self_loop' FROM x WHERE src = dst UNION ALL SELECT edge_id, 'duplicate' FROM x GROUP BY edge_id HAVING count(*) > 1")
-def graph_faults(spark, sf_dir):
-    e = _thinned(spark, sf_dir).withColumn("edge_id", F.concat_ws("-", F.col("src").cast("string"), (F.col("dst") % 9).cast("string")))
-    return graph.edge_faults(e, table(spark, sf_dir, "nation").filter("n_nationkey % 6 > 0").select(F.col("n_nationkey").alias("node")))
-
-
 @query("""
 WITH d AS (SELECT event_id, user_id, event_type, date_diff('day', ts, TIMESTAMP '2024-01-31') AS lead, value FROM events WHERE event_type <> 'error')
 SELECT event_id, round(least(1, greatest(1, 180 - lead) / 180 * (0.6 + 0.4 * ln(1 + value) / ln(1 + 1e6))), 4) AS score FROM d

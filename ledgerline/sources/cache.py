@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .readers import exists
 
 # Seconds that results of each cadence stay fresh.
-CADENCE = {"daily": 86_400, "weekly": 604_800, "monthly": 2_592_000, "quarterly": 7_776_000, "yearly": 31_536_000}
+CADENCE = {"daily": 86_400, "weekly": 604_800, "monthly": 2_592_000, "quarterly": 7_776_000, "yearly": 31_536_000, "annual": 31_536_000}
+DEFAULT_CADENCE = "weekly"
 
 
 def query_hash(query: dict) -> str:
@@ -21,19 +22,21 @@ def query_hash(query: dict) -> str:
     return hashlib.sha256(json.dumps(plain, sort_keys=True, default=str).encode()).hexdigest()[:32]
 
 
-def cached(spark: SparkSession, root: str, source: str, query: dict, cadence: str, fetch: Callable[[], DataFrame], now: float | None = None) -> DataFrame:
+def cached(spark: SparkSession, root: str, source: str, query: dict, cadence: str | None, fetch: Callable[[], DataFrame], now: float | None = None) -> DataFrame:
     """What was stored for the query, if it is fresh and whole; else what fetch gives, stored first.
 
     The folder's name holds the time, and Spark marks a finished write, so a broken write is a miss.
+    Without a cadence, or with one that is not known, results stay fresh for a week.
     """
     now = time.time() if now is None else now
+    fresh_for = CADENCE.get((cadence or "").strip().lower(), CADENCE[DEFAULT_CADENCE])
     base = f"{root}/{source}/{query_hash(query)}"
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(base)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     times = sorted((int(s.getPath().getName()) for s in fs.listStatus(where)), reverse=True) if fs.exists(where) else []
     for t in times:
-        if now - t <= CADENCE[cadence] and exists(spark, f"{base}/{t}/_SUCCESS"):
+        if now - t <= fresh_for and exists(spark, f"{base}/{t}/_SUCCESS"):
             return spark.read.parquet(f"{base}/{t}")
     df = fetch()
     df.write.mode("overwrite").parquet(f"{base}/{int(now)}")

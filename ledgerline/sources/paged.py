@@ -30,19 +30,28 @@ from pyspark.sql.datasource import (
 
 
 def payload_of(filters: list[Filter]) -> tuple[dict, list[Filter]]:
-    """What a request can say of the filters, and the filters that Spark must apply itself."""
+    """What a request can say of the filters, and the filters that Spark must apply itself.
+
+    All filters hold together: of several lists for a column what they share is
+    asked for, of several bounds the strictest; bounds that don't compare are left to Spark.
+    """
     payload: dict = {}
     rest = []
     for f in filters:
-        if isinstance(f, EqualTo) and len(f.attribute) == 1:
-            payload.setdefault("equal", {})[f.attribute[0]] = [f.value]
-        elif isinstance(f, In) and len(f.attribute) == 1:
-            payload.setdefault("equal", {})[f.attribute[0]] = list(f.value)
-        elif isinstance(f, GreaterThanOrEqual) and len(f.attribute) == 1:
-            payload.setdefault("from", {})[f.attribute[0]] = f.value
-        elif isinstance(f, LessThanOrEqual) and len(f.attribute) == 1:
-            payload.setdefault("to", {})[f.attribute[0]] = f.value
-        else:
+        if not isinstance(f, (EqualTo, In, GreaterThanOrEqual, LessThanOrEqual)) or len(f.attribute) != 1:
+            rest.append(f)
+            continue
+        name = f.attribute[0]
+        if isinstance(f, (EqualTo, In)):
+            asked = [f.value] if isinstance(f, EqualTo) else list(f.value)
+            equal = payload.setdefault("equal", {})
+            equal[name] = [v for v in equal[name] if v in asked] if name in equal else asked
+            continue
+        side, strictest = ("from", max) if isinstance(f, GreaterThanOrEqual) else ("to", min)
+        bounds = payload.setdefault(side, {})
+        try:
+            bounds[name] = strictest(bounds[name], f.value) if name in bounds else f.value
+        except TypeError:
             rest.append(f)
     return payload, rest
 

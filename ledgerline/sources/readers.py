@@ -28,11 +28,14 @@ def guarded(spark: SparkSession, paths: list[str], forbidden: tuple[str, ...] =
     raise FileNotFoundError(f"none of {paths}")
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, encoding: str = "UTF-8", missing_ok: bool = False, sep: str = ",") -> DataFrame:
-    """CSV with a header, no inference, byte order mark dropped, quoted line feeds allowed."""
+def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, encoding: str = "UTF-8", missing_ok: bool = False, sep: str = ",", line_feeds: bool = False) -> DataFrame:
+    """CSV with a header, no inference, byte order mark dropped; a file is split among tasks.
+
+    line_feeds: quoted values may hold line feeds; then a file is one task.
+    """
     if missing_ok and not exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or []]))
-    df = spark.read.csv(path, header=True, inferSchema=False, encoding=encoding, multiLine=True, escape='"', sep=sep)
+    df = spark.read.csv(path, header=True, inferSchema=False, encoding=encoding, multiLine=line_feeds, escape='"', sep=sep)
     df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
     return df.select(*columns) if columns else df
 

@@ -7,7 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerline.functions import scores, similarity, text, values
+from ledgerline.functions import rules, scores, similarity, text, values
+from ledgerline.plans import products
+from ledgerline.sources import cache, paged
 
 
 def one(spark, expression, value=None, kind="string"):
@@ -95,3 +97,46 @@ def test_normalisers_are_idempotent(spark, names):
         again = once.select(f("x").alias("y"), "x").collect()
         if f is not text.place_name:  # a prefix may stand twice
             assert all(r.x == r.y for r in again)
+
+
+def test_entity_kinds_of_the_survey(spark):
+    kinds = {
+        "RIVERA, JUAN": "individual", "Rivera Cruz, Juan A.": "individual", "RIVERA, JUAN INC": "corporate", "ACME BUILDERS": "corporate",
+        "DEPT OF HEALTH": "government", "Administración de Servicios": "government", "MUNICIPALIDAD DE PONCE": "government",
+        "FUNDACIÓN COMUNITARIA": "nonprofit", "CATHEDRAL TRUST": "nonprofit", "UNDISCLOSED": "aggregate", None: "unknown",
+    }
+    df = spark.createDataFrame([(k,) for k in kinds], "x string").select("x", scores.entity_kind(F.col("x")).alias("k"))
+    assert {r.x: r.k for r in df.collect()} == kinds
+
+
+def test_labels_are_the_survey_s(spark):
+    pairs = [((), ("a",), "UNRESOLVED"), (("a",), (), "UNRESOLVED"), (("a",), ("b",), "1:1"), (("a",), ("b", "c"), "1:N"), (("a", "b"), ("c",), "N:1"), (("a", "b"), ("c", "d"), "N:N"), (None, ("a",), "UNRESOLVED")]
+    df = spark.createDataFrame([(list(a) if a is not None else None, list(b), w) for a, b, w in pairs], "a array<string>, b array<string>, w string")
+    assert all(r.got == r.w for r in df.select("w", rules.succession(F.col("a"), F.col("b")).alias("got")).collect())
+    scored = spark.createDataFrame([(0.96, "auto_merge"), (0.9, "suggested_merge"), (0.7, "possible_relationship"), (0.2, "separate")], "s double, w string")
+    assert all(r.got == r.w for r in scored.select("w", scores.match_decision(F.col("s"), F.lit(True), F.lit(False)).alias("got")).collect())
+    stages = spark.createDataFrame([("nothing", "fema", 3), ("nothing", "epa", 2), ("road", "fema", 5), ("llc", None, 1)], "t string, s string, w int")
+    assert all(r.got == r.w for r in stages.select("w", scores.project_stage(F.col("t"), F.col("s")).alias("got")).collect())
+
+
+def test_placeholders_of_the_survey(spark):
+    names = ["self  employed", "Retired", "NO", "", None, "-", "VARIOUS", "Acme"]
+    kept, held = products.quarantine(spark.createDataFrame([(n,) for n in names], "n string"), "n")
+    assert {r.n for r in held.collect()} == {"self  employed", "Retired", "NO"} and kept.count() == 5
+
+
+def test_filters_of_a_request_hold_together():
+    gte, lte, eq, isin = paged.GreaterThanOrEqual, paged.LessThanOrEqual, paged.EqualTo, paged.In
+    payload, rest = paged.payload_of([gte(("a",), 5), gte(("a",), 1), lte(("a",), 9), lte(("a",), 7), eq(("b",), 1), isin(("b",), (2, 3)), isin(("c",), (1, 2)), isin(("c",), (2, 3)), gte(("a",), "x")])
+    assert payload == {"from": {"a": 5}, "to": {"a": 7}, "equal": {"b": [], "c": [2]}}
+    assert len(rest) == 1
+
+
+def test_cadences(spark, tmp_path):
+    made = []
+    fetch = lambda: made.append(1) or spark.range(1)
+    for cadence, days, fetches in (("annual", 300, 1), (None, 6, 1), ("some day", 8, 2)):
+        made.clear()
+        for now in (0.0, days * 86_400.0):
+            cache.cached(spark, str(tmp_path), f"s{cadence}", {"q": 1}, cadence, fetch, now)
+        assert len(made) == fetches
