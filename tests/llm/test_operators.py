@@ -457,6 +457,14 @@ def test_steps_increase_squared_fill():
     assert steps > 20
 
 
+def test_search_ends_when_no_step_helps():
+    rng = random.Random(11)
+    out, _ = packing.local_search(Counter({((rng.randrange(21, 60), 1),): rng.randrange(1, 9) for _ in range(25)}), 60)
+    assert out.total() > -(-sum(packing._fill(p) * n for p, n in out.items()) // 60)
+    work = packing._Bins(out, 60)
+    assert all(work.step(k) is None for k in list(work.slot.values()))
+
+
 def test_plan_is_near_the_bound_at_any_scale():
     rng = random.Random(2)
     h = Counter(rng.randrange(200, 1500) for _ in range(300))
