@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,5 +24,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def lost_key(c: str, every: int) -> Column:
+    """The key, but for every so many of its values another that no row refers to: all rows stay, some have no partner."""
+    return F.when(F.col(c) % every == 0, -1 - F.col(c)).otherwise(F.col(c))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -71,11 +71,11 @@ def name_normalize(spark, sf_dir):
 SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) || ' HEALTH' ELSE upper(p_name) END
     || CASE WHEN p_partkey % 3 = 0 THEN ' X' ELSE '' END AS trailing,
   upper(p_name) || ' AVE ' || p_size AS street, right('1787555' || lpad(CAST(p_partkey AS VARCHAR), 4, '0'), 10) AS phone
-FROM part WHERE p_partkey < 10000
+FROM part
 """)
 def contact_normalize(spark, sf_dir):
     """Trailing words, street words and telephone numbers."""
-    p = table(spark, sf_dir, "part").filter("p_partkey < 10000")
+    p = table(spark, sf_dir, "part")
     raw = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(" Health x, Inc."))).otherwise(F.concat("p_name", F.lit(", The Hospital Corp.")))
     return p.select(
         "p_partkey",

@@ -58,13 +58,13 @@ def scored_categories(spark, sf_dir):
     return d.select("doc_id", F.array_join("c.names", "|").alias("names"), "c.decision")
 
 
-_ROWS = """i AS (SELECT n_name AS name, min(CAST(n_nationkey AS VARCHAR)) AS node FROM nation WHERE n_nationkey % 6 > 0 GROUP BY 1), r AS (SELECT c_custkey, 'NATION_' || c_nationkey AS source, CASE WHEN c_custkey % 10 = 0 THEN 'likes' ELSE 'funds' END AS verb, 'NATION_' || (c_custkey % 25) AS target,
+_ROWS = """i AS (SELECT CASE WHEN n_nationkey % 6 = 0 THEN 'OLD_' ELSE '' END || n_name AS name, min(CAST(n_nationkey AS VARCHAR)) AS node FROM nation GROUP BY 1), r AS (SELECT c_custkey, 'NATION_' || c_nationkey AS source, CASE WHEN c_custkey % 10 = 0 THEN 'likes' ELSE 'funds' END AS verb, 'NATION_' || (c_custkey % 25) AS target,
   CASE WHEN c_custkey % 17 = 0 THEN ' ' ELSE 'row ' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS evidence, (c_custkey % 10) / 10.0 AS confidence FROM customer),
 m AS (SELECT r.*, a.node AS src, b.node AS dst, CASE WHEN verb <> 'funds' THEN 'bad_verb' WHEN trim(evidence) = '' THEN 'no_evidence' WHEN a.node IS NULL THEN 'unresolved_source' WHEN b.node IS NULL THEN 'unresolved_target' WHEN a.node = b.node THEN 'self_loop' END AS reason FROM r LEFT JOIN i a ON source = a.name LEFT JOIN i b ON target = b.name)"""
 
 
 def _rows(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").filter("n_nationkey % 6 > 0")
+    n = table(spark, sf_dir, "nation").withColumn("n_name", F.concat(F.when(F.col("n_nationkey") % 6 == 0, "OLD_").otherwise(""), "n_name"))
     index = edges.name_index([(n, "n_nationkey", F.array("n_name"))])
     k = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer").select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scores, values
 from ..operators import aggregates, checks
 from ..plans import products
-from .registry import query, table
+from .registry import lost_key, query, table
 
 
 @query("""
@@ -203,12 +203,12 @@ def page_of_rows(spark, sf_dir):
 
 
 @query("""
-SELECT 'line_part' AS "constraint", CAST(l_partkey AS VARCHAR) AS key, count(*) AS n FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 50 > 0) GROUP BY 2
-UNION ALL SELECT 'order_customer', CAST(o_custkey AS VARCHAR), count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 40 > 0) GROUP BY 2
+SELECT 'line_part' AS "constraint", CAST(l_partkey AS VARCHAR) AS key, count(*) AS n FROM lineitem WHERE l_partkey NOT IN (SELECT CASE WHEN p_partkey % 50 = 0 THEN -1 - p_partkey ELSE p_partkey END FROM part) GROUP BY 2
+UNION ALL SELECT 'order_customer', CAST(o_custkey AS VARCHAR), count(*) FROM orders WHERE o_custkey NOT IN (SELECT CASE WHEN c_custkey % 40 = 0 THEN -1 - c_custkey ELSE c_custkey END FROM customer) GROUP BY 2
 """)
 def fk_orphans(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_partkey % 50 > 0")
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 40 > 0")
+    p = table(spark, sf_dir, "part").withColumn("p_partkey", lost_key("p_partkey", 50))
+    c = table(spark, sf_dir, "customer").withColumn("c_custkey", lost_key("c_custkey", 40))
     return checks.orphans(table(spark, sf_dir, "lineitem"), p, "l_partkey", "p_partkey", "line_part").unionByName(
         checks.orphans(table(spark, sf_dir, "orders"), c, "o_custkey", "c_custkey", "order_customer")
     )
@@ -226,14 +226,15 @@ def null_rates(spark, sf_dir):
 
 
 @query("""
-WITH a AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 5 > 0), b AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 6 > 0)
+WITH a AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey, c_mktsegment, c_acctbal FROM customer),
+  b AS (SELECT CASE WHEN c_custkey % 6 = 0 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_acctbal FROM customer)
 SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, CASE WHEN a.c_custkey IS NULL THEN 'insert' WHEN b.c_custkey IS NULL THEN 'missing'
   WHEN a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AND a.c_acctbal IS NOT DISTINCT FROM b.c_acctbal THEN 'unchanged' ELSE 'update' END AS action FROM a FULL JOIN b ON a.c_custkey = b.c_custkey
 """)
 def upsert_diff(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    new = c.filter("c_custkey % 6 > 0").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment")))
-    return checks.upsert_plan(c.filter("c_custkey % 5 > 0"), new, ["c_custkey"], ["c_mktsegment", "c_acctbal"])
+    new = c.withColumns({"c_custkey": lost_key("c_custkey", 6), "c_mktsegment": F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment"))})
+    return checks.upsert_plan(c.withColumn("c_custkey", lost_key("c_custkey", 5)), new, ["c_custkey"], ["c_mktsegment", "c_acctbal"])
 
 
 @query("""
@@ -263,24 +264,24 @@ def shard_completeness(spark, sf_dir):
 
 
 @query("""
-WITH v AS (SELECT avg(CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 20 > 0) THEN 1.0 ELSE 0 END) AS linked, 1 - count(DISTINCT (l_orderkey, l_linenumber)) / count(*) AS dup FROM lineitem)
+WITH v AS (SELECT avg(CASE WHEN l_orderkey IN (SELECT CASE WHEN o_orderkey % 20 = 0 THEN -1 - o_orderkey ELSE o_orderkey END FROM orders) THEN 1.0 ELSE 0 END) AS linked, 1 - count(DISTINCT (l_orderkey, l_linenumber)) / count(*) AS dup FROM lineitem)
 SELECT 'linked' AS gate, round(linked, 4) AS value, CAST(0.9 AS DOUBLE) AS threshold, linked >= 0.9 AS passed FROM v UNION ALL SELECT 'dup', round(dup, 4), 0.05, dup <= 0.05 FROM v
 """)
 def production_gates(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    known = table(spark, sf_dir, "orders").filter("o_orderkey % 20 > 0").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1.0).alias("hit"))
+    known = table(spark, sf_dir, "orders").select(lost_key("o_orderkey", 20).alias("l_orderkey"), F.lit(1.0).alias("hit"))
     v = lines.join(known, "l_orderkey", "left").agg(F.avg(F.coalesce("hit", F.lit(0.0))).alias("linked"), (1 - F.count_distinct("l_orderkey", "l_linenumber") / F.count("*")).alias("dup"))
     return checks.gates(v, [("linked", ">=", 0.9), ("dup", "<=", 0.05)])
 
 
 @query("""
-WITH s AS (SELECT n_nationkey AS place, n_name AS name, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_suppkey % 2 = 0) AS vendors, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS grantees FROM nation)
+WITH s AS (SELECT n_nationkey AS place, n_name AS name, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) AS vendors, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS grantees FROM nation)
 SELECT place, name, vendors, grantees, CASE WHEN vendors > 0 THEN 60 ELSE 0 END + CASE WHEN grantees > 0 THEN 40 ELSE 0 END AS score, CASE WHEN vendors = 0 AND grantees = 0 THEN 'no data' WHEN vendors = 0 THEN 'no vendors' WHEN grantees = 0 THEN 'no grantees' ELSE '' END AS blind_spot FROM s
 """)
 def universe_matrix(spark, sf_dir):
     """Every place of the dimension appears, with what it lacks."""
     dim = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("place"), F.col("n_name").alias("name"))
-    s = table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0").groupBy(F.col("s_nationkey").alias("place")).agg(F.count("*").alias("vendors"))
+    s = table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("place")).agg(F.count("*").alias("vendors"))
     c = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("place")).agg(F.count("*").alias("grantees"))
     m = dim.join(s, "place", "left").join(c, "place", "left").fillna(0, ["vendors", "grantees"])
     v, g = F.col("vendors") > 0, F.col("grantees") > 0

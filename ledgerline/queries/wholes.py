@@ -11,7 +11,7 @@ from ..functions import scores, values
 from ..operators import aggregates, graph
 from ..plans import products
 from ..streaming import incremental
-from .registry import query, table
+from .registry import lost_key, query, table
 
 _EDGES = """e AS (SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS weight, CAST(max(l_linenumber) AS INTEGER) AS tier FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
@@ -66,11 +66,11 @@ def entity_risk_scores(spark, sf_dir):
 
 _CHAINS = """ch AS (SELECT o_orderkey AS prime, l_suppkey AS sub, l_partkey AS asset, s_nationkey AS place, l_extendedprice AS amount,
   round(least(CASE WHEN l_orderkey % 3 > 0 THEN 0.40 ELSE 0.25 END + 0.2 + CASE WHEN o_orderkey IS NOT NULL THEN 0.15 ELSE 0 END + 0.15 + CASE WHEN o_custkey % 2 = 0 THEN 0.05 ELSE 0 END + CASE WHEN l_suppkey % 2 = 0 THEN 0.05 ELSE 0 END, 1), 3) AS confidence
-  FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 10 > 0) ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey)"""
+  FROM lineitem LEFT JOIN (SELECT o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey FROM orders) ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey)"""
 
 
 def _chains(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 10 > 0").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select(lost_key("o_orderkey", 10).alias("o_orderkey"), "o_custkey")
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_extendedprice").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(s, "l_suppkey")
     true = F.lit(True)
@@ -140,7 +140,7 @@ def cycle_check(spark, sf_dir):
 @query(f"WITH {_EDGES}, x AS (SELECT src || '-' || (dst % 9) AS edge_id, src, dst FROM e) SELECT edge_id, 'orphan_src' AS fault FROM x WHERE src % 6 = 0 UNION ALL SELECT edge_id, 'orphan_dst' FROM x WHERE dst % 6 = 0 UNION ALL SELECT edge_id, 'self_loop' FROM x WHERE src = dst UNION ALL SELECT edge_id, 'duplicate' FROM x GROUP BY edge_id HAVING count(*) > 1")
 def graph_faults(spark, sf_dir):
     e = _edges(spark, sf_dir).withColumn("edge_id", F.concat_ws("-", F.col("src").cast("string"), (F.col("dst") % 9).cast("string")))
-    return graph.edge_faults(e, table(spark, sf_dir, "nation").filter("n_nationkey % 6 > 0").select(F.col("n_nationkey").alias("node")))
+    return graph.edge_faults(e, table(spark, sf_dir, "nation").select(lost_key("n_nationkey", 6).alias("node")))
 
 
 @query()
@@ -163,11 +163,11 @@ def parent_collapse(spark, sf_dir):
 
 
 @query("""
-SELECT coalesce(n_name, 'holder ' || s_suppkey) AS owner, count(*) AS positions, round(sum(s_acctbal), 2) AS value FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) ON s_nationkey = n_nationkey GROUP BY 1
+SELECT coalesce(n_name, 'holder ' || s_suppkey) AS owner, count(*) AS positions, round(sum(s_acctbal), 2) AS value FROM supplier LEFT JOIN (SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS n_name FROM nation) ON s_nationkey = n_nationkey GROUP BY 1
 """)
 def ownership_rollup(spark, sf_dir):
     """Positions rolled up to the bound parent, else to the holder."""
-    bound = table(spark, sf_dir, "nation").filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    bound = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("n_name"))
     rows = table(spark, sf_dir, "supplier").join(bound, "s_nationkey", "left")
     owner = F.coalesce("n_name", F.concat(F.lit("holder "), F.col("s_suppkey").cast("string")))
     return rows.groupBy(owner.alias("owner")).agg(F.count("*").alias("positions"), F.round(F.sum("s_acctbal"), 2).alias("value"))
