@@ -51,15 +51,35 @@ def signal_weight(c: str, table: dict[str, float]) -> Column:
 
 
 def subject_scores(all_signals: DataFrame, subject_types: list[str], divisor: float, with_confidence: bool = True) -> DataFrame:
-    """subject, score (0 to 1), n_signals and the dominant family (ties by name)."""
+    """subject, score (0 to 1), n_signals and the dominant family: that of most weight among those present (ties by name)."""
     part = signal_weight("family", FAMILIES) * signal_weight("severity", SEVERITIES)
     if with_confidence:
         part = part * F.col("confidence")
-    by_family = all_signals.filter(F.col("subject_type").isin(subject_types)).withColumn("w", part).groupBy("subject", "family").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
-    best = F.min(F.struct((-F.round("w", 9)).alias("w"), "family"))
-    return by_family.groupBy("subject").agg(
-        F.least(F.lit(1.0), F.round(F.sum("w") / divisor, 4)).alias("score"), F.sum("n").alias("n_signals"), best.alias("b")
-    ).select("subject", "score", "n_signals", F.col("b.family").alias("dominant_family"))
+    weighed = all_signals.filter(F.col("subject_type").isin(subject_types)).withColumns({"w": part, "_f": -signal_weight("family", FAMILIES)})
+    score = F.least(F.lit(1.0), F.round(F.sum("w") / divisor, 4))
+    return weighed.groupBy("subject").agg(
+        score.alias("score"), F.count("*").alias("n_signals"), F.min_by("family", F.struct("_f", "family")).alias("dominant_family")
+    )
+
+
+def chain_scores(chains: DataFrame, all_signals: DataFrame, chain: str) -> DataFrame:
+    """All chains with score (0 to 1), n_signals and opacity_flag; a chain without signals scores 0."""
+    of_chains = all_signals.filter("subject_type = 'chain'")
+    scored = subject_scores(of_chains, ["chain"], 3.0, with_confidence=False).drop("dominant_family")
+    opaque = of_chains.groupBy("subject").agg(F.max(F.col("family") == "subaward_opacity").alias("opacity_flag"))
+    both = scored.join(opaque, "subject").withColumnRenamed("subject", chain)
+    return chains.join(both, chain, "left").fillna({"score": 0.0, "n_signals": 0, "opacity_flag": False})
+
+
+def place_scores(awards: DataFrame, all_signals: DataFrame, place: str, amount: str, recipient: str) -> DataFrame:
+    """place, awards, total, top_recipient (most awards, ties by name), score, n_signals: places with awards, with signals, or both."""
+    by_recipient = awards.filter(F.trim(F.col(place).cast("string")) != "").groupBy(F.col(place).cast("string").alias("place"), F.col(recipient).alias("_who"))
+    counted = by_recipient.agg(F.count("*").alias("_n"), F.sum(amount).alias("_sum"))
+    stats = counted.groupBy("place").agg(
+        F.sum("_n").alias("awards"), F.round(F.sum("_sum"), 2).alias("total"), F.min_by("_who", F.struct(-F.col("_n"), "_who")).alias("top_recipient")
+    )
+    scored = subject_scores(all_signals, ["municipality"], 2.0, with_confidence=False).drop("dominant_family").withColumnRenamed("subject", "place")
+    return stats.join(scored, "place", "full_outer").fillna(0, ["awards", "total", "score", "n_signals"])
 
 
 # Names that stand for nobody.

@@ -32,14 +32,22 @@ sig AS (SELECT 'concentration' AS family, 'entity' AS subject_type, 'S' || l_sup
  UNION ALL SELECT 'repeat_awards', 'entity', 'C' || o_custkey, 'medium', 0.85, count(*) FROM orders GROUP BY o_custkey HAVING count(*) >= 18
  UNION ALL SELECT 'subaward_opacity', 'chain', 'O' || o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'high' ELSE 'low' END, greatest(0.1, (o_orderkey % 8) / 10.0), o_totalprice FROM orders WHERE o_totalprice > 480000
  UNION ALL SELECT 'political_overlap', 'entity', 'C' || c_custkey, 'medium', 0.8, c_acctbal FROM customer WHERE c_acctbal > 9500
- UNION ALL SELECT 'geographic_clustering', 'municipality', 'N' || c_nationkey, 'medium', 0.8, round(count(*) / (SELECT count(*) FROM customer), 6) FROM customer GROUP BY c_nationkey HAVING count(*) / (SELECT count(*) FROM customer) >= 0.045)"""
+ UNION ALL SELECT 'geographic_clustering', 'municipality', 'N' || c_nationkey, 'medium', 0.8, round(count(*) / (SELECT count(*) FROM customer), 6) FROM customer GROUP BY c_nationkey HAVING count(*) / (SELECT count(*) FROM customer) >= 0.045
+ UNION ALL SELECT 'parent_sub_mismatch', 'chain', 'O' || o_orderkey, 'high', 0.95, 1.0 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey WHERE s_nationkey = c_nationkey
+ UNION ALL SELECT 'bond_contract_overlap', 'entity', 'C' || c_custkey, 'medium', 0.85, s_acctbal FROM supplier JOIN customer ON substr(s_name, 10) = substr(c_name, 10) AND s_nationkey = c_nationkey
+ UNION ALL SELECT 'stale_lineage', 'award', 'E' || event_id, 'low', 0.7, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END + CASE WHEN value < 1 THEN 1 ELSE 0 END FROM events WHERE event_type = 'error' OR value < 1)"""
 
 
 def _signals(spark, sf_dir):
-    lines, o, c = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
+    lines, o, c, s, e = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "events"))
     name = lambda p, k: F.concat(F.lit(p), F.col(k).cast("string"))
     share = aggregates.with_share(lines.groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("x")), "x").filter("share >= 0.0105")
     places = aggregates.with_share(c.groupBy("c_nationkey").agg(F.count("*").alias("x")), "x").filter("share >= 0.045")
+    buyers = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")
+    sellers = lines.join(s, lines.l_suppkey == s.s_suppkey).select("l_orderkey", "s_nationkey")
+    related = sellers.join(buyers, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("s_nationkey") == F.col("c_nationkey")))
+    bonds = s.join(c, (F.substring("s_name", 10, 100) == F.substring("c_name", 10, 100)) & (F.col("s_nationkey") == F.col("c_nationkey")))
+    missing = (F.col("event_type") == "error").cast("int") + (F.col("value") < 1).cast("int")
     again = o.groupBy("o_custkey").agg(F.count("*").alias("n")).filter("n >= 18")
     return [
         products.signals("concentration", "entity", share, name("S", "l_suppkey"), F.when(F.col("share") >= 0.0115, "high").otherwise("medium"), F.lit(0.9), F.round("share", 6)),
@@ -47,6 +55,9 @@ def _signals(spark, sf_dir):
         products.signals("subaward_opacity", "chain", o.filter("o_totalprice > 480000"), name("O", "o_orderkey"), F.when(F.col("o_orderkey") % 2 == 0, "high").otherwise("low"), F.greatest(F.lit(0.1), (F.col("o_orderkey") % 8) / 10), F.col("o_totalprice")),
         products.signals("political_overlap", "entity", c.filter("c_acctbal > 9500"), name("C", "c_custkey"), F.lit("medium"), F.lit(0.8), F.col("c_acctbal")),
         products.signals("geographic_clustering", "municipality", places, name("N", "c_nationkey"), F.lit("medium"), F.lit(0.8), F.round("share", 6)),
+        products.signals("parent_sub_mismatch", "chain", related, name("O", "o_orderkey"), F.lit("high"), F.lit(0.95), F.lit(1.0)),
+        products.signals("bond_contract_overlap", "entity", bonds, name("C", "c_custkey"), F.lit("medium"), F.lit(0.85), F.col("s_acctbal")),
+        products.signals("stale_lineage", "award", e.withColumn("missing", missing).filter("missing > 0"), name("E", "event_id"), F.lit("low"), F.lit(0.7), F.col("missing")),
     ]
 
 
@@ -56,14 +67,34 @@ def risk_signals(spark, sf_dir):
     return products.union_all(_signals(spark, sf_dir))
 
 
-@query(f"""WITH {_SIGNALS}, w AS (SELECT subject, family, sum(CASE family WHEN 'concentration' THEN 1.0 WHEN 'repeat_awards' THEN 0.7 WHEN 'subaward_opacity' THEN 0.8 ELSE 0.6 END
-  * CASE severity WHEN 'high' THEN 1.0 WHEN 'medium' THEN 0.6 ELSE 0.3 END * confidence) AS w, count(*) AS n FROM sig WHERE subject_type IN ('entity', 'chain') GROUP BY 1, 2),
-k AS (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY round(w, 9) DESC, family) AS j FROM w)
-SELECT subject, CAST(least(1, round(sum(w) / 8, 4)) AS DOUBLE) AS score, CAST(sum(n) AS BIGINT) AS n_signals, max(CASE WHEN j = 1 THEN family END) AS dominant_family FROM k GROUP BY subject""")
+_WEIGHTS = """w AS (SELECT *, CASE family WHEN 'concentration' THEN 1.0 WHEN 'repeat_awards' THEN 0.7 WHEN 'subaward_opacity' THEN 0.8 WHEN 'parent_sub_mismatch' THEN 1.0 WHEN 'political_overlap' THEN 0.6 WHEN 'bond_contract_overlap' THEN 0.5 WHEN 'geographic_clustering' THEN 0.4 ELSE 0.3 END AS f,
+  CASE severity WHEN 'high' THEN 1.0 WHEN 'medium' THEN 0.6 ELSE 0.3 END AS s FROM sig)"""
+
+
+@query(f"""WITH {_SIGNALS}, {_WEIGHTS}
+SELECT subject, CAST(least(1, round(sum(f * s * confidence) / 8, 4)) AS DOUBLE) AS score, count(*) AS n_signals, arg_min(family, (-f, family)) AS dominant_family FROM w WHERE subject_type IN ('entity', 'chain') GROUP BY subject""")
 def entity_risk_scores(spark, sf_dir):
     return products.subject_scores(products.union_all(_signals(spark, sf_dir)), ["entity", "chain"], 8)
 
 
+@query(f"""WITH {_SIGNALS}, {_WEIGHTS}, k AS (SELECT subject, least(1, round(sum(f * s) / 3, 4)) AS score, count(*) AS n, max(CASE WHEN family = 'subaward_opacity' THEN 1 ELSE 0 END) = 1 AS opaque FROM w WHERE subject_type = 'chain' GROUP BY 1)
+SELECT 'O' || o_orderkey AS chain_id, o_custkey AS prime, o_totalprice AS amount, CAST(coalesce(score, 0) AS DOUBLE) AS score, coalesce(n, 0) AS n_signals, coalesce(opaque, false) AS opacity_flag FROM orders LEFT JOIN k ON subject = 'O' || o_orderkey""")
+def project_risk_scores(spark, sf_dir):
+    """Every chain, also those without a signal."""
+    chains = table(spark, sf_dir, "orders").select(F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("chain_id"), F.col("o_custkey").alias("prime"), F.col("o_totalprice").alias("amount"))
+    return products.chain_scores(chains, products.union_all(_signals(spark, sf_dir)), "chain_id")
+
+
+@query(f"""WITH {_SIGNALS}, {_WEIGHTS}, k AS (SELECT subject, least(1, round(sum(f * s) / 2, 4)) AS score, count(*) AS n FROM w WHERE subject_type = 'municipality' GROUP BY 1),
+p AS (SELECT 'N' || c_nationkey AS place, o_custkey, count(*) AS n, sum(o_totalprice) AS x FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+a AS (SELECT place, CAST(sum(n) AS BIGINT) AS awards, round(sum(x), 2) AS total, arg_min(o_custkey, (-n, o_custkey)) AS top_recipient FROM p GROUP BY 1)
+SELECT coalesce(place, subject) AS place, coalesce(awards, 0) AS awards, coalesce(total, 0) AS total, top_recipient, CAST(coalesce(score, 0) AS DOUBLE) AS score, coalesce(n, 0) AS n_signals FROM a FULL JOIN k ON place = subject""")
+def municipality_risk_scores(spark, sf_dir):
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    awards = o.join(c, o.o_custkey == c.c_custkey).select(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("place"), "o_custkey", "o_totalprice")
+    return products.place_scores(awards, products.union_all(_signals(spark, sf_dir)), "place", "o_totalprice", "o_custkey")
+
+
 _CHAINS = """ch AS (SELECT o_orderkey AS prime, l_suppkey AS sub, l_partkey AS asset, s_nationkey AS place, l_extendedprice AS amount,
   round(least(CASE WHEN l_orderkey % 3 > 0 THEN 0.40 ELSE 0.25 END + 0.2 + CASE WHEN o_orderkey IS NOT NULL THEN 0.15 ELSE 0 END + 0.15 + CASE WHEN o_custkey % 2 = 0 THEN 0.05 ELSE 0 END + CASE WHEN l_suppkey % 2 = 0 THEN 0.05 ELSE 0 END, 1), 3) AS confidence
   FROM lineitem LEFT JOIN (SELECT o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey FROM orders) ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey)"""
