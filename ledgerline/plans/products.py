@@ -118,3 +118,29 @@ def flows(frames: dict[tuple[str, str], DataFrame]) -> DataFrame:
         payload = F.concat_ws("|", F.lit(kind), F.col("source").cast("string"), F.col("target").cast("string"), F.date_format("day", "yyyy-MM-dd"), "record")
         out.append(df.select(F.concat(F.lit("flow_"), F.substring(F.sha2(payload, 256), 1, 20)).alias("flow_id"), F.lit(kind).alias("flow_type"), F.lit(amount_kind).alias("amount_type"), F.col("source").cast("string").alias("source"), F.col("target").cast("string").alias("target"), F.round("amount", 2).alias("amount"), F.col("day").cast("date").alias("day")))
     return union_all(out)
+
+
+def with_source_row(df: DataFrame, number: str, name: str = "source_row") -> DataFrame:
+    """Adds the line of a headed file that a row stood on (the first row: 2), from a numeric column that orders the rows."""
+    return ranked(df.withColumn("_back", -F.col(number)), "_back", number, name).drop("_back").withColumn(name, F.col(name) + 1)
+
+
+def top_share(df: DataFrame, key: str, amount: str, n: int = 10) -> DataFrame:
+    """total, top_total, share: what the n keys of the largest sums have of all (ties by key)."""
+    sums = df.groupBy(key).agg(F.sum(amount).alias("_x"))
+    top = sums.orderBy(F.desc_nulls_last("_x"), key).limit(n).agg(F.sum("_x").alias("top_total"))
+    both = sums.agg(F.sum("_x").alias("total")).join(F.broadcast(top), F.lit(True))  # one row each
+    return both.select(F.round("total", 2).alias("total"), F.round("top_total", 2).alias("top_total"), F.round(F.col("top_total") / F.nullif("total", F.lit(0)), 6).alias("share"))
+
+
+def summary_json(df: DataFrame, totals: dict[str, Column], by: list[str]) -> DataFrame:
+    """summary: one JSON text of named totals and, for each column of ``by``, the rows of each of its values in order.
+
+    Columns of ``by`` must have few values (datasets, years): their counts meet in one row.
+    """
+    out = df.agg(*[c.alias(name) for name, c in totals.items()])
+    for c in by:
+        n = df.groupBy(F.coalesce(F.col(c).cast("string"), F.lit("")).alias("k")).agg(F.count("*").alias("n"))
+        counts = n.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(f"by_{c}"))
+        out = out.join(F.broadcast(counts), F.lit(True))
+    return out.select(F.to_json(F.struct(*totals, *[f"by_{c}" for c in by])).alias("summary"))
