@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audits
-from ..plans import products
+from ..plans import political, products
 from .registry import query, table
 
 
@@ -97,3 +97,57 @@ def awards_summary(spark, sf_dir):
     """The summary of a master table as one JSON text."""
     o = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year"))
     return products.summary_json(o, {"total_rows": F.count("*"), "unique_recipients": F.count_distinct("o_custkey")}, ["status", "year"])
+
+
+_POLITICAL = """c AS (SELECT n_nationkey, CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation),
+r AS (SELECT o_orderkey AS n, CAST(o_orderkey % 4000 AS VARCHAR) AS record, c_name AS donor, CASE WHEN o_custkey % 4 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS cid, 'Committee of ' || c_mktsegment AS cname, o_totalprice AS amount, o_orderdate AS day FROM orders JOIN customer ON o_custkey = c_custkey),
+p AS (SELECT s_suppkey AS n, CAST(s_suppkey AS VARCHAR) AS record, CAST(s_nationkey + 10 AS VARCHAR) AS cid, 'Payer ' || s_nationkey AS cname, s_name AS recipient, s_acctbal AS amount FROM supplier),
+i AS (SELECT upper(replace(s_name, '#', ' ')) AS name, 'ENT_' || s_suppkey AS eid, s_name AS ename FROM supplier WHERE s_acctbal > 5000),
+q AS (SELECT p.*, eid, ename, CASE WHEN eid IS NULL THEN 'unresolved' ELSE 'exact_name' END AS method, CASE WHEN eid IS NULL THEN 0.4 ELSE 0.9 END AS confidence FROM p LEFT JOIN i ON upper(replace(recipient, '#', ' ')) = i.name),
+x AS (SELECT event_id AS n, CAST(event_id AS VARCHAR) AS record, CAST(user_id % 40 AS VARCHAR) AS cid, 'Spender ' || (user_id % 40) AS cname, CASE WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE '' END AS candidate, 'Candidate ' || user_id AS name, CASE WHEN event_type = 'error' THEN 'oppose' ELSE 'support' END AS stance, value AS amount FROM events),
+h AS (SELECT n, record, 'donor_' || substr(sha256(upper(replace(donor, '#', ' '))), 1, 20) AS a, CASE WHEN cid = '' THEN 'committee_' || substr(sha256(upper(cname)), 1, 20) ELSE 'fec_committee:' || cid END AS b, donor, cname, amount, CAST(day AS DATE) AS day FROM r),
+k AS (SELECT n, record, 'fec_committee:' || cid AS a, coalesce(eid, 'unresolved_recipient_' || substr(sha256(upper(replace(recipient, '#', ' '))), 1, 20)) AS b, cname, coalesce(ename, recipient) AS recipient, amount, confidence, method, eid, ename FROM q),
+z AS (SELECT n, record, 'fec_committee:' || cid AS a, 'fec_candidate:' || CASE WHEN candidate = '' THEN name ELSE candidate END AS b, cname, name, upper(stance) AS stance, amount FROM x)"""
+
+
+def _political(spark, sf_dir):
+    o, c, s, e, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "supplier", "events", "nation"))
+    words = lambda c: F.col(c).cast("string")
+    committees = n.select(words("n_nationkey").alias("committee_id"), F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 3 == 0, "Super PAC").otherwise("Leadership").alias("said"), F.lit("").alias("code"), F.col("n_nationkey").cast("long").alias("n"))
+    gifts = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").cast("long").alias("n"), (F.col("o_orderkey") % 4000).cast("string").alias("record"), F.col("c_name").alias("donor"), F.when(F.col("o_custkey") % 4 == 0, "").otherwise(words("c_nationkey")).alias("committee_id"),
+        F.concat(F.lit("Committee of "), "c_mktsegment").alias("committee_name"), F.col("o_totalprice").alias("amount"), F.to_date("o_orderdate").alias("day"),
+    )
+    paid = s.select(F.col("s_suppkey").cast("long").alias("n"), words("s_suppkey").alias("record"), (F.col("s_nationkey") + 10).cast("string").alias("committee_id"), F.concat(F.lit("Payer "), words("s_nationkey")).alias("committee_name"), F.col("s_name").alias("recipient"), F.col("s_acctbal").alias("amount"), F.lit(None).cast("date").alias("day"))
+    user = F.col("user_id") % 40
+    spent = e.select(
+        F.col("event_id").cast("long").alias("n"), words("event_id").alias("record"), user.cast("string").alias("committee_id"), F.concat(F.lit("Spender "), user.cast("string")).alias("committee_name"), F.when(F.col("user_id") % 2 == 0, words("user_id")).otherwise("").alias("candidate_id"),
+        F.concat(F.lit("Candidate "), words("user_id")).alias("candidate_name"), F.when(F.col("event_type") == "error", "oppose").otherwise("support").alias("indicator"), F.col("value").alias("amount"), F.lit(None).cast("date").alias("day"),
+    )
+    index = s.filter("s_acctbal > 5000").select(F.col("s_name").alias("name"), F.concat(F.lit("ENT_"), words("s_suppkey")).alias("entity_id"), F.col("s_name").alias("entity_name"), F.lit("exact_name").alias("method"), F.lit(0.9).alias("confidence"))
+    return political.graph(committees, {"fec_schedule_a": gifts}, paid, spent, index)
+
+
+@query(f"""WITH {_POLITICAL}, e AS (SELECT 'fec_committee:' || id AS entity_id, CASE WHEN n_nationkey % 3 = 0 THEN 'SUPER_PAC' ELSE 'POLITICAL_COMMITTEE' END AS entity_type, name AS canonical_name, 'fec_committees' AS source_id, id AS source_record_id, 1.0 AS confidence, 0 AS s, n_nationkey AS n, 0 AS side FROM c
+ UNION ALL SELECT a, 'DONOR', donor, 'fec_schedule_a', record, 0.9, 1, n, 0 FROM h UNION ALL SELECT b, 'POLITICAL_COMMITTEE', cname, 'fec_schedule_a', record, 0.85, 1, n, 1 FROM h
+ UNION ALL SELECT a, 'POLITICAL_COMMITTEE', cname, 'fec_schedule_b', record, 1.0, 4, n, 0 FROM k UNION ALL SELECT b, 'DOWNSTREAM_RECIPIENT', recipient, 'fec_schedule_b', record, confidence, 4, n, 1 FROM k
+ UNION ALL SELECT a, 'POLITICAL_COMMITTEE', cname, 'fec_schedule_e', record, 1.0, 5, n, 0 FROM z UNION ALL SELECT b, 'CANDIDATE', name, 'fec_schedule_e', record, 1.0, 5, n, 1 FROM z)
+SELECT entity_id, entity_type, canonical_name, source_id, source_record_id, CAST(confidence AS DOUBLE) AS confidence FROM e QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY s, n, side) = 1""")
+def political_entities(spark, sf_dir):
+    """Nodes of four relations; the first row names a node."""
+    return _political(spark, sf_dir)[0]
+
+
+@query(f"""WITH {_POLITICAL}, e AS (SELECT 'fec_schedule_a' AS source_id, record AS source_record_id, a AS source_entity_id, b AS target_entity_id, 'DONATED_TO' AS edge_type, amount, day, '' AS support_oppose, 0.95 AS confidence, n FROM h
+ UNION ALL SELECT 'fec_schedule_b', record, a, b, 'DISBURSED_TO', amount, NULL, '', confidence, n FROM k
+ UNION ALL SELECT 'fec_schedule_e', record, a, b, CASE WHEN stance LIKE 'O%' THEN 'INDEPENDENT_EXPENDITURE_AGAINST' ELSE 'INDEPENDENT_EXPENDITURE_FOR' END, amount, NULL, stance, 1.0, n FROM z)
+SELECT source_entity_id, target_entity_id, edge_type, amount, day, support_oppose, source_id, source_record_id, CAST(confidence AS DOUBLE) AS confidence FROM e
+QUALIFY row_number() OVER (PARTITION BY source_id, source_record_id, source_entity_id, target_entity_id, edge_type ORDER BY n DESC) = 1""")
+def political_edges(spark, sf_dir):
+    """Edges of four relations; the last row of an id stays."""
+    return _political(spark, sf_dir)[1].drop("edge_id")
+
+
+@query(f"WITH {_POLITICAL} SELECT 'fec_schedule_b' AS source_id, record AS source_record_id, q.recipient AS raw_recipient_name, coalesce(eid, '') AS resolved_entity_id, coalesce(ename, '') AS resolved_name, method AS resolution_method, CAST(confidence AS DOUBLE) AS confidence, eid IS NULL AS review_required FROM q")
+def political_resolutions(spark, sf_dir):
+    return _political(spark, sf_dir)[2]
