@@ -56,7 +56,7 @@ def subject_scores(all_signals: DataFrame, subject_types: list[str], divisor: fl
     if with_confidence:
         part = part * F.col("confidence")
     weighed = all_signals.filter(F.col("subject_type").isin(subject_types)).withColumns({"w": part, "_f": -signal_weight("family", FAMILIES)})
-    score = F.least(F.lit(1.0), F.round(F.sum("w") / divisor, 4))
+    score = F.least(F.lit(1.0), F.round(F.round(F.sum("w") / divisor, 9), 4))
     return weighed.groupBy("subject").agg(
         score.alias("score"), F.count("*").alias("n_signals"), F.min_by("family", F.struct("_f", "family")).alias("dominant_family")
     )

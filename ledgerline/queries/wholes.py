@@ -72,12 +72,12 @@ _WEIGHTS = """w AS (SELECT *, CASE family WHEN 'concentration' THEN 1.0 WHEN 're
 
 
 @query(f"""WITH {_SIGNALS}, {_WEIGHTS}
-SELECT subject, CAST(least(1, round(sum(f * s * confidence) / 8, 4)) AS DOUBLE) AS score, count(*) AS n_signals, arg_min(family, (-f, family)) AS dominant_family FROM w WHERE subject_type IN ('entity', 'chain') GROUP BY subject""")
+SELECT subject, CAST(least(1, round(round(sum(f * s * confidence) / 8, 9), 4)) AS DOUBLE) AS score, count(*) AS n_signals, arg_min(family, (-f, family)) AS dominant_family FROM w WHERE subject_type IN ('entity', 'chain') GROUP BY subject""")
 def entity_risk_scores(spark, sf_dir):
     return products.subject_scores(products.union_all(_signals(spark, sf_dir)), ["entity", "chain"], 8)
 
 
-@query(f"""WITH {_SIGNALS}, {_WEIGHTS}, k AS (SELECT subject, least(1, round(sum(f * s) / 3, 4)) AS score, count(*) AS n, max(CASE WHEN family = 'subaward_opacity' THEN 1 ELSE 0 END) = 1 AS opaque FROM w WHERE subject_type = 'chain' GROUP BY 1)
+@query(f"""WITH {_SIGNALS}, {_WEIGHTS}, k AS (SELECT subject, least(1, round(round(sum(f * s) / 3, 9), 4)) AS score, count(*) AS n, max(CASE WHEN family = 'subaward_opacity' THEN 1 ELSE 0 END) = 1 AS opaque FROM w WHERE subject_type = 'chain' GROUP BY 1)
 SELECT 'O' || o_orderkey AS chain_id, o_custkey AS prime, o_totalprice AS amount, CAST(coalesce(score, 0) AS DOUBLE) AS score, coalesce(n, 0) AS n_signals, coalesce(opaque, false) AS opacity_flag FROM orders LEFT JOIN k ON subject = 'O' || o_orderkey""")
 def project_risk_scores(spark, sf_dir):
     """Every chain, also those without a signal."""
@@ -85,7 +85,7 @@ def project_risk_scores(spark, sf_dir):
     return products.chain_scores(chains, products.union_all(_signals(spark, sf_dir)), "chain_id")
 
 
-@query(f"""WITH {_SIGNALS}, {_WEIGHTS}, k AS (SELECT subject, least(1, round(sum(f * s) / 2, 4)) AS score, count(*) AS n FROM w WHERE subject_type = 'municipality' GROUP BY 1),
+@query(f"""WITH {_SIGNALS}, {_WEIGHTS}, k AS (SELECT subject, least(1, round(round(sum(f * s) / 2, 9), 4)) AS score, count(*) AS n FROM w WHERE subject_type = 'municipality' GROUP BY 1),
 p AS (SELECT 'N' || c_nationkey AS place, o_custkey, count(*) AS n, sum(o_totalprice) AS x FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 a AS (SELECT place, CAST(sum(n) AS BIGINT) AS awards, round(sum(x), 2) AS total, arg_min(o_custkey, (-n, o_custkey)) AS top_recipient FROM p GROUP BY 1)
 SELECT coalesce(place, subject) AS place, coalesce(awards, 0) AS awards, coalesce(total, 0) AS total, top_recipient, CAST(coalesce(score, 0) AS DOUBLE) AS score, coalesce(n, 0) AS n_signals FROM a FULL JOIN k ON place = subject""")
