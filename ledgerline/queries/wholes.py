@@ -72,7 +72,7 @@ _WEIGHTS = """w AS (SELECT *, CASE family WHEN 'concentration' THEN 1.0 WHEN 're
 
 
 @query(f"""WITH {_SIGNALS}, {_WEIGHTS}
-SELECT subject, CAST(least(1, round(round(sum(f * s * confidence) / 8, 9), 4)) AS DOUBLE) AS score, count(*) AS n_signals, arg_min(family, (-f, family)) AS dominant_family FROM w WHERE subject_type IN ('entity', 'chain') GROUP BY subject""")
+SELECT subject, CAST(least(1, round(CAST(sum(f * s * confidence) / 8 AS DECIMAL(18, 9)), 4)) AS DOUBLE) AS score, count(*) AS n_signals, arg_min(family, (-f, family)) AS dominant_family FROM w WHERE subject_type IN ('entity', 'chain') GROUP BY subject""")
 def entity_risk_scores(spark, sf_dir):
     return products.subject_scores(products.union_all(_signals(spark, sf_dir)), ["entity", "chain"], 8)
 
