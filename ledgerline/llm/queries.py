@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     decontaminate,
+    divergence,
     lm_score,
     near_dedup,
+    online_packing,
     packing,
     quality_classifier,
     quality_rules,
     secrets,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -223,6 +226,60 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents")).select("lang", "source", "part", "item", "value", "rank")
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), words AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS item FROM docs
+), kept AS (
+  SELECT lang, item FROM words GROUP BY lang, item HAVING count(DISTINCT rid) >= 30
+), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), found AS (
+  SELECT lang, source, item, count(*) AS c FROM words JOIN kept USING (lang, item) GROUP BY ALL
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), shares AS (
+  SELECT g.lang, g.source, k.item, coalesce(c, 0) AS c,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 5)
+      // (sum(coalesce(c, 0)) OVER (PARTITION BY g.lang, g.source) + 5 * v) AS p
+  FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang)
+  LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.item = k.item
+), whole AS (
+  SELECT lang, item,
+    1 + CAST(1000000000 AS HUGEINT) * (sum(c) + 5) // (sum(sum(c)) OVER (PARTITION BY lang) + 5 * v) AS q
+  FROM shares JOIN sizes USING (lang) GROUP BY lang, item, v
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.item = b.item AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', item, CAST(p - q AS BIGINT) FROM shares JOIN whole USING (lang, item) WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+def op12_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = online_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -234,5 +291,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_online_packing": op12_online_packing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL, "op5_near_dedup": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL, "op5_near_dedup": OP5_SQL, "op11_source_divergence": OP11_SQL}
