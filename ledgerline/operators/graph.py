@@ -2,27 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _settled(df: DataFrame) -> DataFrame:
-    """df, computed once, with its lineage cut: a table in the shared checkpoint folder, or a reliable checkpoint."""
-    spark = df.sparkSession
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if where:
-        path = f"{where.rstrip('/')}/ledgerline-graph/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
-    return df.checkpoint()
+from ..sources.interim import settled
 
 
 def node_metrics(edges: DataFrame) -> DataFrame:
@@ -64,9 +47,9 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int | None = None,
     """
     e = edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     out = e.groupBy("src").agg(F.sum("weight").alias("total"))
-    e = _settled(e.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")))
+    e = settled(e.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")))
     nodes = e.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    nodes = _settled(nodes.join(out.select(F.col("src").alias("node"), F.lit(True).alias("gives")), "node", "left"))
+    nodes = settled(nodes.join(out.select(F.col("src").alias("node"), F.lit(True).alias("gives")), "node", "left"))
     n = nodes.count()
     ranks = nodes.select("node", "gives", F.lit(1.0 / max(n, 1)).alias("rank"))
     k = 0
@@ -83,7 +66,7 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int | None = None,
         if k % 5 == 0:
             if rounds is None:
                 ranks = ranks.join(last.select("node", F.col("rank").alias("before")), "node")
-            ranks = _settled(ranks)
+            ranks = settled(ranks)
             if rounds is None:
                 change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("before")))).first()[0]
                 if change is None or change < tolerance:
@@ -95,19 +78,19 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int | None = None,
 
 def reaches(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
     """src, dst, hops: the transitive closure, or what of it a number of hops reaches, shortest first."""
-    step = _settled(edges.select("src", "dst").distinct())
+    step = settled(edges.select("src", "dst").distinct())
     known = step.withColumn("hops", F.lit(1))
     front, hop = known, 1
     while max_hops is None or hop < max_hops:
         hop += 1
         grown = front.select("src", F.col("dst").alias("_mid")).join(step.withColumnRenamed("src", "_mid"), "_mid")
         front = grown.select("src", "dst").distinct().join(known, ["src", "dst"], "left_anti").withColumn("hops", F.lit(hop))
-        front = _settled(front)
+        front = settled(front)
         if front.isEmpty():
             break
         known = known.unionByName(front)
         if hop % 10 == 0:
-            known = _settled(known)
+            known = settled(known)
     return known
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.interim import settled
 from .dedup import best_per_key
 
 
@@ -121,20 +122,18 @@ def waves(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
     One join a level, until none is ready.  Nodes on or behind a cycle have no wave: null.
     """
-    from .graph import _settled
-
     left = nodes.select("node").distinct()
     done, wave = None, 0
     while True:
         waiting = edges.select("node", F.col("needs").alias("_n")).join(left.select(F.col("node").alias("_n")), "_n", "left_semi").select("node").distinct()
-        ready = _settled(left.join(waiting, "node", "left_anti").withColumn("wave", F.lit(wave)))
+        ready = settled(left.join(waiting, "node", "left_anti").withColumn("wave", F.lit(wave)))
         done = ready if done is None else done.unionByName(ready)
-        left = _settled(left.join(ready.select("node"), "node", "left_anti"))
+        left = settled(left.join(ready.select("node"), "node", "left_anti"))
         if ready.isEmpty() or left.isEmpty():
             break
         wave += 1
         if wave % 10 == 0:
-            done = _settled(done)
+            done = settled(done)
     return done.unionByName(left.withColumn("wave", F.lit(None).cast("int")))
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import scores, values
 from ..operators import aggregates, graph
 from ..plans import products
-from ..streaming import incremental
+from ..sources import interim
+from ..streaming import commits, incremental, restating
 from .registry import lost_key, query, table
 
 _EDGES = """e AS (SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS weight, CAST(max(l_linenumber) AS INTEGER) AS tier FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -233,18 +231,11 @@ def event_bands(spark, sf_dir):
     return e.select("event_id", F.from_json("props", "k long")["k"].alias("k"), scores.bands(F.col("value"), scores.NONPROFIT_BANDS, "lead_only").alias("band"))
 
 
-def _streamed(spark, build, schema, mode):
-    """Run a stream to its end and give the table of its last batch."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerline-")
-    folder = f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    last = {}
-
-    def sink(batch, number):
-        batch.write.mode("overwrite").parquet(f"{folder}/out/{number}")
-        last["path"] = f"{folder}/out/{number}" if mode == "complete" else f"{folder}/out/*"
-
-    incremental.run_available(build, f"{folder}/state", sink, mode)
-    out = spark.read.schema(schema).parquet(last["path"])
+def _streamed(spark, build, schema, mode="append", sink=commits.exactly_once, read=commits.committed):
+    """Run a stream to its end and give the table that its sink left."""
+    folder = interim.new_folder(spark, "stream")
+    incremental.run_available(build, f"{folder}/state", sink(f"{folder}/out"), mode)
+    out = read(spark, f"{folder}/out", schema)
     return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in out.dtypes])
 
 
@@ -256,7 +247,9 @@ def stream_tumbling(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     stream = incremental.events(spark, f"{sf_dir}/events.parque[t]", schema)  # a pattern: one file is no folder
     out = incremental.windowed(stream, "ts", "event_type", "value", "6 hours")
-    return _streamed(spark, out, out.schema, "complete")
+    # each batch says how the windows that it touched stand now; the counts of a window only grow
+    sink = lambda path: restating.restate_into(path, ["start", "end", "event_type"], "start", ["n"])
+    return _streamed(spark, out, out.schema, "update", sink, restating.restated)
 
 
 @query("""
@@ -276,4 +269,4 @@ def stream_dedup(spark, sf_dir):
     stream = incremental.events(spark, f"{sf_dir}/events.parque[t]", schema)  # a pattern: one file is no folder
     twice = stream.select("event_id", "ts", "user_id", "event_type").unionByName(stream.select("event_id", "ts", "user_id", "event_type"))
     out = incremental.deduplicated(twice, "event_id", "ts")
-    return _streamed(spark, out, out.schema, "append")
+    return _streamed(spark, out, out.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..operators.checks import upserted
 from ..operators.dedup import best_per_key
+from .commits import CommitLog
 
 
 def events(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_trigger: int | None = None) -> DataFrame:
@@ -52,14 +53,21 @@ def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame,
 
 
 def upsert_into(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the latest row of each key as versioned tables: path/v=N is the state after batch N."""
+    """A sink that keeps the latest row of each key as versioned tables: path/v=N is the state after batch N.
+
+    It starts from the last committed version before its own, and commits after its files, so a failed batch leaves no gap.
+    The whole table is written each time: for tables kept by period see ``restating``.
+    """
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        log = CommitLog(spark, path)
         rest = [c for c in batch.columns if c not in keys]
         fresh = best_per_key(batch, keys, [F.struct(*rest)])  # of a key's rows in one batch, the same one each time
-        if number > 0:
-            fresh = upserted(spark.read.parquet(f"{path}/v={number - 1}"), fresh, keys)
+        before = [n for n in log.numbers() if n < number]
+        if before:
+            fresh = upserted(spark.read.parquet(f"{path}/v={before[-1]}"), fresh, keys)
         fresh.write.mode("overwrite").parquet(f"{path}/v={number}")
+        log.write(number, {"version": number})
 
     return sink
