@@ -166,3 +166,110 @@ def betweenness(edges: DataFrame, max_nodes: int = 2000) -> DataFrame:
 
     parts = nodes.repartition(max(1, min(64, len(near)))).mapInPandas(from_sources, f"node {dict(nodes.dtypes)['node']}, part double")
     return nodes.join(parts.groupBy("node").agg((F.sum("part") / 2).alias("betweenness")), "node", "left").fillna(0.0, ["betweenness"])
+
+
+def chains(links: DataFrame) -> DataFrame:
+    """node, last, hops, cycle: where each node's chain ends, by pointer jumping; links: node, next (null: an end), each node once.
+
+    A round replaces each pointer by the pointer of what it points to, so chains of n links take about log2(n) rounds.
+    Nodes whose chain has no end are those that lead into a cycle: last and hops are null and cycle is the
+    smallest node of that cycle.  A next that is no node counts as an end of its own.
+    """
+    e = settled(links.select("node", "next").distinct(), "chains")
+    state = e.select("node", F.coalesce("next", "node").alias("to"), F.col("next").isNotNull().cast("long").alias("hops"))
+    known = e.select(F.col("node").alias("to"), F.col("next").isNull().alias("end"))
+    # an end points to itself; what points to no node at all has reached one, too
+    state = state.join(known, "to", "left").select("node", "to", "hops", F.coalesce("end", F.lit(True)).alias("done"))
+    done = settled(state.filter("done"), "chains")
+    left = settled(state.filter("NOT done").withColumn("low", F.least("node", "to")), "chains")
+    found = done
+    while True:
+        ahead = done.select(F.col("node").alias("to"), F.col("to").alias("last"), F.col("hops").alias("more"))
+        along = left.select(F.col("node").alias("to"), F.col("to").alias("further"), F.col("hops").alias("on"), F.col("low").alias("lower"))
+        step = left.join(ahead, "to", "left").join(along, "to", "left")
+        step = step.select(
+            "node",
+            F.coalesce("last", "further").alias("to"),
+            (F.col("hops") + F.coalesce("more", "on")).alias("hops"),
+            F.col("last").isNotNull().alias("done"),
+            F.least("low", "lower").alias("low"),
+        )
+        step = settled(step, "chains")
+        fresh, left = step.filter("done").drop("low"), step.filter("NOT done")
+        if fresh.isEmpty():
+            break  # an end at distance d leaves one at each shorter distance: none is left now
+        found = found.unionByName(fresh)
+        # a pointer of round k looks 2^k links ahead, so all ends found so far can be asked
+        done = settled(found, "chains")
+        found = done
+    # who is left never ends; more rounds until every pointer has gone round its cycle
+    n, span = left.count(), 2
+    while span < 2 * n:
+        along = left.select(F.col("node").alias("to"), F.col("to").alias("further"), F.col("low").alias("lower"))
+        left = settled(left.join(along, "to").select("node", F.col("further").alias("to"), F.least("low", "lower").alias("low"), "hops", "done"), "chains")
+        span *= 2
+    kind = dict(links.dtypes)["node"]
+    ended = found.select("node", F.col("to").alias("last"), "hops", F.lit(None).cast(kind).alias("cycle"))
+    # the low of a pointer's target has seen its whole cycle, and nothing else
+    rounds = left.select(F.col("node").alias("to"), F.col("low").alias("cycle"))
+    endless = left.join(rounds, "to").select("node", F.lit(None).cast(kind).alias("last"), F.lit(None).cast("long").alias("hops"), "cycle")
+    return ended.unionByName(endless)
+
+
+def _trimmed(e: DataFrame) -> DataFrame:
+    """Edges whose ends both have edges in and out, so far as a few rounds show: what only leads to or from cycles goes."""
+    before = None
+    while True:
+        both = e.select(F.col("src").alias("node")).distinct().join(e.select(F.col("dst").alias("node")).distinct(), "node", "left_semi")
+        e = e.join(both.select(F.col("node").alias("src")), "src", "left_semi").join(both.select(F.col("node").alias("dst")), "dst", "left_semi")
+        e = settled(e.select("src", "dst"), "cycles")
+        n = e.count()
+        # a long tail goes link by link: leave it to the colours, which take it away at once
+        if not n or before is not None and n > 0.9 * before:
+            return e
+        before = n
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """node, component (its smallest node): the nodes that lie on cycles; edges: src, dst.
+
+    Nodes without edges in or out are peeled off.  Then the largest number that reaches a node is its colour; within a
+    colour the nodes that reach that number are one strong component, which goes, and the rest
+    begins anew.  No table holds pairs of nodes that reach each other.
+    """
+    loops = edges.filter("src = dst").select(F.col("src").alias("node")).distinct()
+    e = settled(edges.filter("src <> dst").select("src", "dst").distinct(), "cycles")
+    found = None
+    while True:
+        e = _trimmed(e)
+        if e.isEmpty():
+            break
+        colour = e.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("colour", F.col("node"))
+        colour = settled(colour, "cycles")
+        while True:
+            sent = e.join(colour.select(F.col("node").alias("src"), "colour"), "src").groupBy("dst").agg(F.max("colour").alias("got"))
+            new = colour.join(sent, F.col("node") == F.col("dst"), "left")
+            new = settled(new.select("node", F.greatest("colour", "got").alias("colour"), (F.col("got") > F.col("colour")).alias("changed")), "cycles")
+            colour = new.select("node", "colour")
+            if new.filter("changed").isEmpty():
+                break
+        # edges within a colour, walked backwards from its number
+        own = e.join(colour.select(F.col("node").alias("src"), "colour"), "src").join(colour.select(F.col("node").alias("dst"), F.col("colour").alias("same")), "dst")
+        own = settled(own.filter("colour = same").select("src", "dst", "colour"), "cycles")
+        inside = settled(colour.filter("node = colour"), "cycles")
+        front = inside
+        while True:
+            front = own.join(front.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node"), "colour").distinct()
+            front = settled(front.join(inside.select("node"), "node", "left_anti"), "cycles")
+            if front.isEmpty():
+                break
+            inside = settled(inside.unionByName(front), "cycles")
+        sizes = inside.groupBy("colour").agg(F.count("*").alias("n"), F.min("node").alias("component")).filter("n > 1")
+        one = settled(inside.join(sizes, "colour").select("node", "component"), "cycles")
+        found = one if found is None else found.unionByName(one)
+        gone = inside.select("node")
+        e = e.join(gone.select(F.col("node").alias("src")), "src", "left_anti").join(gone.select(F.col("node").alias("dst")), "dst", "left_anti")
+        e = settled(e.select("src", "dst"), "cycles")
+    if found is None:
+        return loops.withColumn("component", F.col("node"))
+    return found.unionByName(loops.join(found, "node", "left_anti").withColumn("component", F.col("node")))
