@@ -31,7 +31,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -249,28 +249,30 @@ def _share(n: Column, total: Column, kept: Column) -> Column:
     return F.lit(1) + F.call_function("div", above, below)
 
 
-def _excess(_: tuple, table: pa.Table) -> pa.Table:
+def _excess(tile: int) -> Callable[[pa.Table], pa.Table]:
     """Of a block of ordinals by some sources: |p - q| summed for pairs of sources, less what terms that neither has would add."""
-    source = table.column("number").to_numpy()
-    names, row = np.unique(source, return_inverse=True)
-    _, column = np.unique(table.column("ordinal").to_numpy(), return_inverse=True)
-    base = np.zeros(len(names), np.int64)
-    base[row] = table.column("p0").to_numpy()
-    p = np.repeat(base[:, None], column.max() + 1, axis=1)
-    p[row, column] = table.column("p").to_numpy()
-    one, other = table.column("one")[0].as_py(), table.column("other")[0].as_py()
-    a, b, value = [], [], []
-    for i, x in enumerate(names.tolist()):
-        if x // TILE != one:
-            continue
-        theirs = np.flatnonzero((names // TILE == other) & (names > x))
-        a.append(np.full(len(theirs), x))
-        b.append(names[theirs])
-        value.append(np.abs(p[i] - p[theirs]).sum(axis=1) - p.shape[1] * np.abs(base[i] - base[theirs]))
-    lang = table.column("lang")[0].as_py()
-    n = sum(map(len, a))
-    join = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64())
-    return pa.table({"lang": pa.array([lang] * n, pa.string()), "a": join(a), "b": join(b), "excess": join(value)})
+
+    def work(table: pa.Table) -> pa.Table:
+        names, row = np.unique(table.column("number").to_numpy(), return_inverse=True)
+        base = np.zeros(len(names), np.int64)
+        base[row] = table.column("p0").to_numpy()
+        ordinal = table.column("ordinal").to_numpy()
+        said = ordinal >= 0
+        terms, column = np.unique(ordinal[said], return_inverse=True)
+        p = np.repeat(base[:, None], len(terms), axis=1)
+        p[row[said], column] = table.column("p").to_numpy()[said]
+        one, other = table.column("one")[0].as_py(), table.column("other")[0].as_py()
+        a, b, value = [], [], []
+        for i in np.flatnonzero(names // tile == one).tolist():
+            theirs = np.flatnonzero((names // tile == other) & (names > names[i]))
+            a.append(np.full(len(theirs), names[i]))
+            b.append(names[theirs])
+            value.append(np.abs(p[i] - p[theirs]).sum(axis=1) - p.shape[1] * np.abs(base[i] - base[theirs]))
+        lang = pa.array([table.column("lang")[0].as_py()] * sum(map(len, a)), pa.string())
+        numbers = (pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (a, b, value))
+        return pa.table([lang, *numbers], ["lang", "a", "b", "excess"])
+
+    return work
 
 
 def audit(docs: DataFrame, least: int = LEAST, ranks: int = RANKS, room: int = ROOM) -> DataFrame:
@@ -300,19 +302,23 @@ def audit(docs: DataFrame, least: int = LEAST, ranks: int = RANKS, room: int = R
 
     # pairs: a row goes to each tile that its source is compared in
     own = F.floor(F.col("number") / TILE)
-    placed = shares.join(langs.select("lang", "sources"), "lang")
+    placed = shares.select("lang", "number", "ordinal", "p", "p0", F.floor(F.col("ordinal") / BLOCK).alias("block"))
+    # a source without a term of a block is compared in it all the same
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("kept") - 1) / BLOCK)))
+    there = groups.filter("kept > 0").select("lang", "number", F.lit(-1).cast("long").alias("ordinal"), F.col("p0").alias("p"), "p0", each.alias("block"))
+    placed = placed.unionByName(there).join(langs.select("lang", "sources"), "lang")
     placed = placed.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("sources") - 1) / TILE))))
     blocks = placed.select(
         "lang",
         F.least(own, "tile").alias("one"),
         F.greatest(own, "tile").alias("other"),
-        F.floor(F.col("ordinal") / BLOCK).alias("block"),
+        "block",
         "number",
         "ordinal",
         "p",
         "p0",
     )
-    excess = blocks.groupBy("lang", "one", "other", "block").applyInArrow(_excess, "lang string, a long, b long, excess long")
+    excess = blocks.groupBy("lang", "one", "other", "block").applyInArrow(_excess(TILE), "lang string, a long, b long, excess long")
     excess = excess.groupBy("lang", "a", "b").agg(F.sum("excess").alias("excess"))
     g = groups.select("lang", "source", "number", "p0", "kept")
     h = groups.select("lang", F.col("source").alias("item"), F.col("number").alias("number2"), F.col("p0").alias("p02"))
