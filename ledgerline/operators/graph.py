@@ -273,3 +273,26 @@ def strong_components(edges: DataFrame) -> DataFrame:
     if found is None:
         return loops.withColumn("component", F.col("node"))
     return found.unionByName(loops.join(found, "node", "left_anti").withColumn("component", F.col("node")))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, component (its smallest node) of every node of an undirected edge table; edges: src, dst.
+
+    A round hangs each node under the smallest label around it, then labels under their own labels, so that
+    long paths shorten by powers of two.  What nodes say to their neighbours is combined before it is shuffled.
+    """
+    e = edges.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL")
+    e = settled(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "components")
+    label = settled(e.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("label")), "components")
+    while True:
+        near = e.join(label, F.col("dst") == F.col("node")).groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near"))
+        least = label.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
+        # the label of the node that is my label, as it stands now
+        over = least.select(F.col("node").alias("low"), F.col("low").alias("lower"))
+        # whoever named a label tells it about a smaller one it has heard of
+        heard = least.groupBy(F.col("label").alias("node")).agg(F.min("low").alias("heard"))
+        new = least.join(over, "low", "left").join(heard, "node", "left")
+        new = settled(new.select("node", F.least("low", "lower", "heard").alias("label"), (F.least("low", "lower", "heard") < F.col("label")).alias("changed")), "components")
+        label = new.select("node", "label")
+        if new.filter("changed").isEmpty():
+            return label.withColumnRenamed("label", "component")
