@@ -34,13 +34,13 @@ def by_tail(rows: DataFrame, masters: DataFrame, column: str, master_id: str, or
     return rows.withColumn("_tail", id_tail(F.col(column))).join(index, "_tail", "left").drop("_tail")
 
 
-def preceded(events: DataFrame, activity: DataFrame, on: list[str], at: str, active_at: str, window_days: int = WINDOW_DAYS) -> DataFrame:
+def preceded(events: DataFrame, activity: DataFrame, on: list[str], at: str, active_at: str, window_days: int = WINDOW_DAYS, entities: DataFrame | None = None) -> DataFrame:
     """events with days since the last activity of their key at or before them, method and confidence.
 
-    Only keys with any activity are kept.  An event without time, without earlier
-    activity or beyond the window stays, by name alone and at the lower confidence.
+    Only keys of ``entities`` are kept, whether they have any activity or not (without that table: keys with activity).  An event
+    without time, without earlier activity or beyond the window stays, by name alone and at the lower confidence.
     """
-    keys = activity.select(*on).distinct()
+    keys = (activity if entities is None else entities).select(*on).distinct()
     times = activity.filter(F.col(active_at).isNotNull()).select(*on, active_at)
     found = asof_before(events.join(keys, on, "left_semi"), times, on, at, active_at, active_at, active_at, strict=False)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))

@@ -43,6 +43,27 @@ def activity_before(spark, sf_dir):
     return audits.preceded(events, active, ["o_custkey"], "day", "active", 180).select("o_orderkey", "days", "method", "confidence")
 
 
+@query("""
+WITH n AS (SELECT concat('ENT_', c_custkey) AS entity, c_nationkey * 100 + c_custkey % 100 AS name FROM customer),
+e AS (SELECT o_orderkey AS event, o_custkey % 4000 AS name, CASE WHEN o_orderkey % 11 > 0 THEN o_orderdate END AS day FROM orders WHERE o_orderpriority = '1-URGENT'),
+a AS (SELECT o_custkey % 2500 AS name, o_orderdate AS day FROM orders WHERE o_orderstatus = 'F'),
+d AS (SELECT event, CAST(min(floor(epoch(e.day - a.day) / 86400)) AS BIGINT) AS days FROM e JOIN a ON e.name = a.name AND a.day <= e.day GROUP BY 1)
+SELECT entity, e.event, days, CASE WHEN days <= 180 THEN 'exact_normalized_name+temporal' ELSE 'exact_normalized_name' END AS method, CAST(CASE WHEN days <= 180 THEN 0.90 ELSE 0.72 END AS DOUBLE) AS confidence,
+  concat('event:', e.event) AS evidence FROM e JOIN n ON n.name = e.name LEFT JOIN d ON d.event = e.event
+""")
+def entity_activity(spark, sf_dir):
+    """Events of entities by name with the last activity before them; entities without any activity keep theirs at the lower confidence."""
+    c = table(spark, sf_dir, "customer")
+    names = c.select(F.concat(F.lit("ENT_"), F.col("c_custkey").cast("string")).alias("entity"), (F.col("c_nationkey") * 100 + F.col("c_custkey") % 100).alias("name"))
+    o = table(spark, sf_dir, "orders")
+    day = F.when(F.col("o_orderkey") % 11 > 0, F.col("o_orderdate"))
+    events = o.filter("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("event"), (F.col("o_custkey") % 4000).alias("name"), day.alias("day"))
+    active = o.filter("o_orderstatus = 'F'").select((F.col("o_custkey") % 2500).alias("name"), F.col("o_orderdate").alias("active"))
+    found = audits.preceded(events, active, ["name"], "day", "active", 180, names)
+    evidence = F.concat(F.lit("event:"), F.col("event").cast("string"))
+    return found.join(names, "name").select("entity", "event", "days", "method", "confidence", evidence.alias("evidence"))
+
+
 @query("""
 WITH t AS (SELECT o_custkey, sum(o_totalprice) AS total, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent FROM orders GROUP BY 1),
 c AS (SELECT c_name, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment ELSE ' ' END AS parent, total, coalesce(urgent, 0) = 1 AS in_graph FROM customer LEFT JOIN t ON c_custkey = o_custkey)
