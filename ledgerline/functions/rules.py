@@ -29,9 +29,13 @@ PLACE_CONFIDENCE = {"agency_default": 0.30, "code_exact": 0.97, "headquarters":
 HOME = ("PR", "PUERTO RICO", "UNITED STATES", "US", "USA")
 
 
+# Fixed value: the signs that part words of a vendor's name.
+VENDOR_SIGNS = r"[,.\-/&'()]"
+
+
 def vendor_name(c: Column | str) -> Column:
     """Accents, signs and legal or trade words off."""
-    s = F.regexp_replace(F.upper(fold(text(c))), r"[,.\-/&'()]", " ")
+    s = F.regexp_replace(F.upper(fold(text(c))), VENDOR_SIGNS, " ")
     return squeeze(F.regexp_replace(s, r"\b(?:" + "|".join(VENDOR_WORDS) + r")\b", " "))
 
 
