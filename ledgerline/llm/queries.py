@@ -280,6 +280,44 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+#: crc32 by its table, which a fold makes; the bytes of UTF-8 follow from code points below 256.
+OP13_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS steps
+), runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents WHERE text IS NOT NULL)
+  WHERE length(run) >= 7 GROUP BY ALL
+), coded AS (
+  SELECT run, c, flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes FROM runs
+), hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295, bytes), lambda x, b: xor(x // 256, steps[xor(x % 256, b) + 1])), 4294967295) AS h
+  FROM coded, crc
+), w AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT c, CASE WHEN h % 31 = 0 THEN concat(left(run, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+), less AS (
+  SELECT word, n, i, concat(left(word, i - 1), substr(word, i + 1)) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN w ON w.word = l.rest
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN w ON w.word = l.rest
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS form, max(n) AS form_n FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form, CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM w LEFT JOIN best USING (word)
+), ends(word, root) AS (
+  SELECT word, word FROM forms WHERE form IS NULL UNION ALL SELECT f.word, e.root FROM forms f JOIN ends e ON f.form = e.word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -295,4 +333,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_online_packing": op12_online_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL, "op5_near_dedup": OP5_SQL, "op11_source_divergence": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op2_decontamination": OP2_SQL, "op5_near_dedup": OP5_SQL, "op11_source_divergence": OP11_SQL, "op13_spelling_variants": OP13_SQL}
