@@ -18,11 +18,14 @@ def order_text(c: str, order: str, most: int | None = None, mark: str = "|") ->
     return F.array_join(F.slice(values, 1, most) if most else values, mark)
 
 
-def top_ids(df: DataFrame, keys: list[str], order: list[Column], value: str, most: int) -> DataFrame:
-    """keys and the first few values in order as ``evidence``: ranked before they are collected, so lists stay short."""
+def top_ids(df: DataFrame, keys: list[str], order: list[Column], value: str, most: int, mark: str = ",") -> DataFrame:
+    """keys and the first few values in order as ``evidence``: ranked before they are collected, so lists stay short.
+
+    The rank filter becomes a limit for each group before the shuffle, so a hot key sends a few rows of each task.
+    """
     ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_r") <= most)
     return ranked.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", value))), lambda x: x[value].cast("string")), ",").alias("evidence")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", value))), lambda x: x[value].cast("string")), mark).alias("evidence")
     )
 
 

@@ -38,27 +38,19 @@ SEVERITIES = {"high": 1.0, "medium": 0.6, "low": 0.3}
 SIGNAL_COLUMNS = ["family", "subject_type", "subject", "severity", "confidence", "value"]
 
 
-def signals(family: str, subject_type: str, rows: DataFrame, subject: Column, severity: Column, confidence: Column, value: Column) -> DataFrame:
-    """Rows of one family in the shared schema."""
-    return rows.select(
-        F.lit(family).alias("family"), F.lit(subject_type).alias("subject_type"), subject.cast("string").alias("subject"),
-        severity.alias("severity"), confidence.cast("double").alias("confidence"), value.cast("double").alias("value"),
-    )
-
-
 def signal_weight(c: str, table: dict[str, float]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), F.col(c))
 
 
-def subject_scores(all_signals: DataFrame, subject_types: list[str], divisor: float, with_confidence: bool = True) -> DataFrame:
-    """subject, score (0 to 1), n_signals and the dominant family: that of most weight among those present (ties by name)."""
+def subject_scores(all_signals: DataFrame, subject_types: list[str], divisor: float, with_confidence: bool = True, *more: Column) -> DataFrame:
+    """subject, score (0 to 1), n_signals and the dominant family: that of most weight among those present (ties by name); more aggregates."""
     part = signal_weight("family", FAMILIES) * signal_weight("severity", SEVERITIES)
     if with_confidence:
         part = part * F.col("confidence")
     weighed = all_signals.filter(F.col("subject_type").isin(subject_types)).withColumns({"w": part, "_f": -signal_weight("family", FAMILIES)})
     score = F.least(F.lit(1.0), F.round(F.round(F.sum("w") / divisor, 9), 4))
     return weighed.groupBy("subject").agg(
-        score.alias("score"), F.count("*").alias("n_signals"), F.min_by("family", F.struct("_f", "family")).alias("dominant_family")
+        score.alias("score"), F.count("*").alias("n_signals"), F.min_by("family", F.struct("_f", "family")).alias("dominant_family"), *more
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import differential
 import pytest
 
-from ledgerline.queries import audits, links, rows, rulesets, sums, wholes  # noqa: F401
+import __spark_entry__  # noqa: F401  (registers all queries)
 from ledgerline.queries.registry import ORACLE_SQL, QUERIES
 
 from conftest import SMALL
