@@ -400,15 +400,21 @@ def pages_extract(spark, sf_dir):
 SELECT d.doc_id, b.item_id FROM (SELECT doc_id, lower(text) AS t FROM documents) d JOIN (SELECT item_id, lower(text) AS w FROM benchmark) b ON contains(d.t, b.w)
 """)
 def watchlist_matches(spark, sf_dir):
-    """Documents that hold a watchlist text: joined on the first word run of each, then checked."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t"))
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("w"))
+    """Documents that hold a watchlist text: found by the rarest of its inner words, which are whole wherever it occurs, then checked.
+
+    Only ids travel beside words; texts are joined to candidates by id.  Watchlist texts
+    of at most two words have no inner word and are held against every document.
+    """
     runs = lambda c: F.regexp_extract_all(c, F.lit(r"(?U)[^\s]+"), F.lit(0))
-    # the second word of a watch text is whole wherever the text occurs
-    keyed = b.withColumn("key", F.get(runs(F.col("w")), F.lit(1)))
-    words = d.select("doc_id", "t", F.explode(F.array_distinct(runs(F.col("t")))).alias("key"))
-    hit = words.join(keyed.filter(F.size(runs(F.col("w"))) > 2), "key").filter(F.contains("t", "w")).select("doc_id", "item_id")
-    short = keyed.filter(F.size(runs(F.col("w"))) <= 2)
+    d = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t"))
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("w")).withColumn("runs", runs(F.col("w")))
+    inner = b.filter(F.size("runs") > 2).select("item_id", F.explode(F.array_distinct(F.slice("runs", F.lit(2), F.size("runs") - 2))).alias("key"))
+    words = d.select("doc_id", F.explode(F.array_distinct(runs(F.col("t")))).alias("key")).join(inner.select("key").distinct(), "key", "left_semi")
+    n = words.groupBy("key").agg(F.count("*").alias("n"))
+    rarest = inner.join(n, "key", "left").groupBy("item_id").agg(F.min_by("key", F.struct(F.coalesce("n", F.lit(0)), "key")).alias("key"))
+    pairs = words.join(rarest, "key").select("doc_id", "item_id").distinct()
+    hit = pairs.join(d, "doc_id").join(b.select("item_id", "w"), "item_id").filter(F.contains("t", "w")).select("doc_id", "item_id")
+    short = b.filter(F.size("runs") <= 2).select("item_id", "w")
     return hit.unionByName(d.join(short, F.contains("t", "w")).select("doc_id", "item_id")).distinct()
 
 
