@@ -61,7 +61,8 @@ def longest_alias(df: DataFrame, row: str, words: Column, aliases: DataFrame, ma
         )
     )
     runs = df.select(row, F.explode(F.array_distinct(grams)).alias("alias"))
-    hits = runs.join(aliases, "alias")
+    # runs are many for each row and estimated as one, so they would be taken for small and sent to the driver
+    hits = runs.hint("merge").join(aliases, "alias")
     best = hits.groupBy(row).agg(F.min(F.struct((-F.length("alias")).alias("n"), "alias", "subject")).alias("b"))
     return best.select(row, "b.alias", "b.subject")
 
