@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values
+from ..sources.interim import settled
 
 # Columns that carry the same meaning in several tables, in order of trust.
 NAMES = ("recipient_name", "vendor_name", "award_recipient_name", "prime_recipient_name")
@@ -119,19 +120,32 @@ def first_filled(df: DataFrame, columns: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.nullif(_text(df, c), F.lit("")) for c in columns if c in df.columns], F.lit(""))
 
 
+def _number(df: DataFrame, c: str) -> Column:
+    """The column as a number; what is a number already isn't written out and read again."""
+    kind = dict(df.dtypes)[c]
+    if kind in ("double", "float", "int", "bigint", "smallint", "tinyint") or kind.startswith("decimal"):
+        n = F.col(c).cast("double")
+        return F.when(~F.isnan(n), n)
+    return values.number(F.regexp_replace(_text(df, c), "[,$]", ""))
+
+
 def _confidence(df: DataFrame, given: float | Read) -> Column:
     if not isinstance(given, Read):
         return F.lit(given)
-    said = _text(df, given.column)
-    x = values.number(said) / given.divisor
+    blank = F.lit(given.blank / given.divisor)
+    if given.column not in df.columns:
+        return blank
+    is_text = dict(df.dtypes)[given.column] == "string"
+    x = (values.number(_text(df, given.column)) if is_text else _number(df, given.column)) / given.divisor
     kept = F.least(x, F.lit(given.most)) if given.most is not None else x
-    return F.when(said == "", given.blank / given.divisor).when(x.isNull(), given.unreadable).otherwise(kept)
+    empty = _text(df, given.column) == "" if is_text else F.col(given.column).isNull()
+    return F.when(empty, blank).when(x.isNull(), given.unreadable).otherwise(kept)
 
 
 def _weight(df: DataFrame, arc: Projection) -> Column:
     if not arc.money:
         return F.lit(1.0)
-    said = [values.number(F.regexp_replace(_text(df, c), "[,$]", "")) for c in AMOUNTS if c in df.columns]
+    said = [_number(df, c) for c in AMOUNTS if c in df.columns]
     amount = F.coalesce(*said, F.lit(0.0))  # the first that can be read
     return F.when(amount == 0, 1.0).otherwise(amount) if arc.least_weight else amount
 
@@ -158,19 +172,27 @@ def arcs(tables: list[tuple[str, str, DataFrame, str]], tiers: dict[str, str]) -
     """
     found, named = [], []
     for i, (kind, dataset, rows, order) in enumerate(tables):
-        made = []
-        for j, arc in enumerate(KINDS[kind].arcs):
-            confidence = _confidence(rows, arc.confidence)
-            made.append(
-                F.struct(
-                    first_filled(rows, arc.source).alias("source"), first_filled(rows, arc.target).alias("target"), F.lit(arc.verb).alias("verb"),
-                    F.round(_weight(rows, arc), 2).alias("weight"), first_filled(rows, arc.evidence).alias("evidence"), F.round(confidence, 3).alias("confidence"),
-                    (confidence < REVIEW_BELOW).alias("review"), F.lit(arc.types[0]).alias("source_type"), F.lit(arc.types[1]).alias("target_type"), F.lit(j).alias("_arc"),
-                )
-            )
-        each = rows.select(F.lit(i).alias("_table"), F.col(order).cast("long").alias("_row"), F.explode(F.array(*made)).alias("a")).select("_table", "_row", "a.*")
+        projections = KINDS[kind].arcs
+
+        def of(make, projections=projections) -> Column:
+            """The value for the arc at hand: made from the row's columns, so what nobody reads isn't made."""
+            out = F
+            for j, arc in enumerate(projections):
+                out = out.when(F.col("_arc") == j, make(arc))
+            return out
+
         tier = tiers.get(dataset, TIERS[-1])
-        found.append(each.filter("source <> '' AND target <> ''").withColumns({"dataset": F.lit(dataset), "tier": F.lit(tier if tier in TIERS else TIERS[-1])}))
+        each = rows.withColumn("_arc", F.explode(F.array(*[F.lit(j) for j in range(len(projections))])))
+        confidence = of(lambda arc, rows=rows: _confidence(rows, arc.confidence))
+        ends = each.select(
+            "*", of(lambda arc, rows=rows: first_filled(rows, arc.source)).alias("_source"), of(lambda arc, rows=rows: first_filled(rows, arc.target)).alias("_target"),
+        ).filter("_source <> '' AND _target <> ''")
+        found.append(ends.select(
+            F.lit(i).alias("_table"), F.col(order).cast("long").alias("_row"), F.col("_source").alias("source"), F.col("_target").alias("target"), of(lambda arc: F.lit(arc.verb)).alias("verb"),
+            of(lambda arc, rows=rows: F.round(_weight(rows, arc), 2)).alias("weight"), of(lambda arc, rows=rows: first_filled(rows, arc.evidence)).alias("evidence"), F.round(confidence, 3).alias("confidence"),
+            (confidence < REVIEW_BELOW).alias("review"), of(lambda arc: F.lit(arc.types[0])).alias("source_type"), of(lambda arc: F.lit(arc.types[1])).alias("target_type"), "_arc",
+            F.lit(dataset).alias("dataset"), F.lit(tier if tier in TIERS else TIERS[-1]).alias("tier"),
+        ))
         for c, name, node_type in KINDS[kind].labels:
             said = rows.select(F.lit(i).alias("_table"), F.col(order).cast("long").alias("_row"), _text(rows, c).alias("node"), _text(rows, name).alias("label"), F.lit(node_type).alias("node_type"))
             named.append(said.filter("node <> '' AND label <> ''"))
@@ -180,29 +202,53 @@ def arcs(tables: list[tuple[str, str, DataFrame, str]], tiers: dict[str, str]) -
     return edges, labels
 
 
-def nodes(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, label, node_type: as the first row that names the node has it (a label of a row stands before its arcs)."""
-    ends = edges.select("_table", "_row", "_arc", F.explode(F.array(
-        F.struct(F.lit(0).alias("_side"), F.col("source").alias("node"), F.col("source_type").alias("node_type")),
-        F.struct(F.lit(1).alias("_side"), F.col("target").alias("node"), F.col("target_type").alias("node_type")),
-    )).alias("e")).select("_table", "_row", "_arc", "e.*").withColumn("label", F.col("node"))
-    every = ends.unionByName(labels.withColumns({"_arc": F.lit(-1), "_side": F.lit(0)}))
+def tallied(edges: DataFrame) -> DataFrame:
+    """Of each node and each kind of end that it is: the first row, and what its metrics add up.
+
+    A kind is a table, an arc of it and a side, so there are few rows for a node, and all
+    that is kept of the arcs is numbers, which combine before they are shuffled.
+    """
+    rank = F.create_map(*[F.lit(x) for i, t in enumerate(TIERS) for x in (t, i)])
+    side = lambda i, c: F.struct(F.lit(i).alias("_side"), F.col(c).alias("node"), F.col(f"{c}_type").alias("node_type"))
+    each = edges.select("_table", "_row", "_arc", "weight", "review", F.col("verb").isin(*CONTRACT_VERBS).alias("_money"), rank[F.col("tier")].alias("_tier"), F.explode(F.array(side(0, "source"), side(1, "target"))).alias("e"))
+    return each.groupBy("e.node", "e.node_type", "_table", "_arc", "e._side", "_money", "_tier").agg(
+        F.min("_row").alias("_row"), F.count("*").alias("_n"), F.sum("weight").alias("_weight"), F.count_if("review").alias("_review")
+    )
+
+
+def _named(tally: DataFrame, labels: DataFrame) -> DataFrame:
+    ends = tally.select("node", F.col("node").alias("label"), "node_type", "_table", "_row", "_arc", "_side")
+    said = labels.groupBy("node", "label", "node_type", "_table").agg(F.min("_row").alias("_row"))
+    every = ends.unionByName(said.withColumns({"_arc": F.lit(-1), "_side": F.lit(0)}))
     first = F.min_by(F.struct("label", "node_type"), F.struct("_table", "_row", "_arc", "_side", "label", "node_type"))
     return every.groupBy("node").agg(first.alias("f")).select("node", "f.*")
 
 
-def metrics(edges: DataFrame, known: DataFrame) -> DataFrame:
-    """node, node_type, degree, weighted_degree, contract_weight, review_edges and the worst tier of its edges; a loop counts at both ends."""
-    rank = F.create_map(*[F.lit(x) for i, t in enumerate(TIERS) for x in (t, i)])
-    each = edges.select(F.explode(F.array("source", "target")).alias("node"), "verb", "weight", "review", rank[F.col("tier")].alias("_tier"))
-    money = F.when(F.col("verb").isin(*CONTRACT_VERBS), F.col("weight")).otherwise(0.0)
-    found = each.groupBy("node").agg(
-        F.count("*").alias("degree"), F.round(F.sum("weight"), 2).alias("weighted_degree"), F.round(F.sum(money), 2).alias("contract_weight"),
-        F.count_if("review").alias("review_edges"), F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.max("_tier") + 1).alias("tier"),
+def _measured(tally: DataFrame, known: DataFrame) -> DataFrame:
+    money = F.when(F.col("_money"), F.col("_weight")).otherwise(0.0)
+    found = tally.groupBy("node").agg(
+        F.sum("_n").alias("degree"), F.round(F.sum("_weight"), 2).alias("weighted_degree"), F.round(F.sum(money), 2).alias("contract_weight"),
+        F.sum("_review").alias("review_edges"), F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.max("_tier") + 1).alias("tier"),
     )
     return found.join(known.select("node", "node_type"), "node")
 
 
+def nodes(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, label, node_type: as the first row that names the node has it (a label of a row stands before its arcs)."""
+    return _named(tallied(edges), labels)
+
+
+def metrics(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """node, node_type, degree, weighted_degree, contract_weight, review_edges and the worst tier of its edges; a loop counts at both ends."""
+    return _measured(tallied(edges), known)
+
+
+def nodes_measured(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """``metrics`` with the types of ``nodes``, from one pass over the arcs."""
+    tally = settled(tallied(edges), "tally")
+    return _measured(tally, _named(tally, labels))
+
+
 def top_control(measured: DataFrame, n: int = 25) -> DataFrame:
     """The nodes with most contract money, ties by name."""
     return measured.orderBy(F.desc("contract_weight"), "node").limit(n)

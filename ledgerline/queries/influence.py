@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import influence
-from ..sources import interim
 from .registry import query, table
 
 _TIERS = {"awards": "observed", "chains": "linked", "lda": "observed", "fec": "linked", "bonds": "observed", "ngo_funding": "observed"}
@@ -79,9 +78,7 @@ def _arcs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def _metrics(spark, sf_dir) -> DataFrame:
-    edges, labels = _arcs(spark, sf_dir)
-    edges = interim.settled(edges, "arcs")  # read by nodes and by metrics
-    return influence.metrics(edges, influence.nodes(edges, labels))
+    return influence.nodes_measured(*_arcs(spark, sf_dir))
 
 
 @query(f"WITH {_ARCS} SELECT source, target, verb, weight, dataset, evidence, confidence, tier, review FROM e")

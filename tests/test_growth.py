@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import linkage
+from ledgerline.plans import influence
 
 
 def _plan(df) -> str:
@@ -17,3 +18,12 @@ def test_longest_alias_never_sends_the_runs_of_texts_to_the_driver(spark):
     found = linkage.longest_alias(texts, "i", F.split("t", " "), aliases, 2)
     assert "BroadcastHashJoin" not in _plan(found)
     assert {tuple(r) for r in found.collect()} == {(i, "red fox", "RF") for i in range(20)}
+
+
+def test_arcs_are_tallied_without_a_sort(spark):
+    rows = spark.createDataFrame([(0, "X", "X", 10.0), (1, "X", "Y", 5.0), (2, "Y", "X", None)], "n long, awarding_agency string, recipient_name string, amount double")
+    edges, labels = influence.arcs([("award", "a", rows, "n")], {"a": "observed"})
+    for df in (influence.tallied(edges), influence.tallied(influence.arcs([("bond", "b", rows.withColumnsRenamed({"awarding_agency": "issuer", "recipient_name": "dealer"}), "n")], {})[0])):
+        assert "SortAggregate" not in _plan(df) and " Sort " not in _plan(df)
+    got = influence.nodes_measured(edges, labels)
+    assert {tuple(r) for r in got.collect()} == {("X", 4, 25.0, 25.0, 4, "observed", "agency"), ("Y", 2, 5.0, 5.0, 2, "observed", "prime")}
