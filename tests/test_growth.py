@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import linkage
-from ledgerline.plans import influence
+from ledgerline.plans import influence, resolution
 
 
 def _plan(df) -> str:
@@ -27,3 +27,16 @@ def test_arcs_are_tallied_without_a_sort(spark):
         assert "SortAggregate" not in _plan(df) and " Sort " not in _plan(df)
     got = influence.nodes_measured(edges, labels)
     assert {tuple(r) for r in got.collect()} == {("X", 4, 25.0, 25.0, 4, "observed", "agency"), ("Y", 2, 5.0, 5.0, 2, "observed", "prime")}
+
+
+def test_records_meet_in_their_blocks_and_pairs_are_not_shuffled(spark):
+    arrays = "aliases array<string>, officers array<string>, contracts array<string>, clients array<string>"
+    one = lambda i: (f"r{i:02}", f"ALFA GRUPO W{i % 3}", [], ["P"], ["K"], [], f"ST {i % 4}", f"{i % 5}", None, 2000, 2001, 1, 1, {"uei": f"U{i % 2}"})
+    df = spark.createDataFrame([one(i) for i in range(24)], f"record string, name string, {arrays}, address string, phone string, parent string, valid_from int, valid_to int, municipality int, project int, ids map<string,string>")
+    for limit in (3, 7, 30):
+        found = resolution.decisions(df, limit)
+        plan = _plan(found)
+        # after the join of blocks only what meets the first record of a crowd is joined again
+        assert plan.index("SortMergeJoin") < plan.index("own_a") and "Exchange hashpartitioning(a#" not in plan.split("Union")[1].split("SortMergeJoin")[0]
+        want = {(r.a, r.b) for r in resolution.pairs(df, limit).collect()}
+        assert sorted((r.a, r.b) for r in found.collect()) == sorted(want)
