@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,10 +79,15 @@ def by_variants(df: DataFrame, row: str, variants: Column, table: DataFrame, key
 
 def restated(df: DataFrame, keys: list[str], at: str, record: str) -> DataFrame:
     """Adds ``restates``: the record of the latest strictly earlier date of the same key, if it is the only one of that date."""
-    days = df.groupBy(*keys, at).agg(F.min(record).alias("_r"), F.count("*").alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(at)
-    before = days.withColumn("restates", F.when(F.lag("_n").over(w) == 1, F.lag("_r").over(w)))
-    return df.join(before.select(*keys, at, "restates"), [*keys, at], "left")
+    # one shuffle and one sort serve both windows; a hash of the keys goes first, since it is quicker to compare
+    rows = df.withColumns({"_h": F.xxhash64(*keys), "_at": F.unix_micros(F.col(at).cast("timestamp"))}).repartition("_h")
+    day = Window.partitionBy("_h", *keys, "_at")
+    earlier = Window.partitionBy("_h", *keys).orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_day", F.struct(F.min(record).over(day).alias("r"), F.count("*").over(day).alias("n")))
+    # a row without a date is earlier than none
+    rows = rows.withColumn("_before", F.last(F.when(F.col("_at").isNotNull(), F.col("_day")), ignorenulls=True).over(earlier))
+    whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*keys, at)])
+    return rows.withColumn("restates", F.when(whole & (F.col("_before.n") == 1), F.col("_before.r"))).drop("_h", "_at", "_day", "_before")
 
 
 def agreement(ids: DataFrame, left: str, right: str) -> DataFrame:

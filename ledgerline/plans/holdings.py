@@ -27,7 +27,11 @@ def _said(c: str) -> Column:
     return F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
 
 
-def _number(c: str) -> Column:
+def _number(df: DataFrame, c: str) -> Column:
+    """The column as a number; what is a number already isn't written out and read again."""
+    if dict(df.dtypes)[c] in ("double", "float", "int", "bigint"):
+        n = F.col(c).cast("double")
+        return F.when(~F.isnan(n), n)
     return values.number(F.replace(_said(c), F.lit(","), F.lit("")))
 
 
@@ -36,9 +40,8 @@ def _needed(found: Column, ok: Column, what: str) -> Column:
     return F.when(ok, found).otherwise(F.raise_error(F.concat(F.col("accession"), F.lit(f": no readable {what}"))).cast("string"))
 
 
-def _day(c: str) -> Column:
-    day = values.date_of(_said(c), DATES)
-    return _needed(day.cast("string"), day.isNotNull(), c).cast("date")
+def _day(c: str, what: str) -> Column:
+    return _needed(F.col(c).cast("string"), F.col(c).isNotNull(), what).cast("date")
 
 
 def unjoined(entries: DataFrame, submissions: DataFrame, covers: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -61,25 +64,28 @@ def observations(entries: DataFrame, submissions: DataFrame, covers: DataFrame,
     key = _said("ACCESSION_NUMBER").alias("accession")
     s = submissions.select(key, "CIK", "SUBMISSIONTYPE", "PERIODOFREPORT", "FILING_DATE")
     c = covers.select(key, "ISAMENDMENT", "AMENDMENTTYPE", "FILINGMANAGER_NAME")
-    t = summaries.select(key, _number("TABLEVALUETOTAL").alias("_total"))
-    filings = s.join(c, "accession").join(t, "accession")
+    t = summaries.select(key, _number(summaries, "TABLEVALUETOTAL").alias("_total"))
     amended = F.upper(_said("ISAMENDMENT")).isin("Y", "YES", "1", "TRUE") | F.upper(_said("SUBMISSIONTYPE")).endswith("/A")
     raw = F.upper(_said("AMENDMENTTYPE"))
     kind = F.when(~amended, "ORIGINAL").when(raw.isin(*ADDITIONS), "AMENDED_ADDITION").otherwise("UNKNOWN")
+    # read once for each filing; what can't be read raises where an entry needs it
+    filings = s.join(c, "accession").join(t, "accession").select(
+        "accession", F.regexp_replace(_said("CIK"), "[^0-9]", "").alias("_cik"), _said("FILINGMANAGER_NAME").alias("_manager"), values.date_of(_said("PERIODOFREPORT"), DATES).alias("_as_of"),
+        values.date_of(_said("FILING_DATE"), DATES).alias("_filed"), "_total", kind.alias("_kind"), F.when(amended, raw).otherwise("ORIGINAL").alias("_type"),
+    )
     cusip = F.upper(_said("CUSIP"))
     rows = entries.withColumn("accession", key).drop("ACCESSION_NUMBER").join(filings, "accession").withColumn("_cusip", cusip)
     rows = rows.join(issuers.select(F.upper(_said("cusip")).alias("_cusip"), F.col("issuer").cast("string").alias("_issuer")), "_cusip", "left")
-    number = F.regexp_replace(_said("CIK"), "[^0-9]", "")
-    holder = F.concat(F.lit("INV_CIK_"), F.lpad(number, 10, "0"))
-    unit, value = F.upper(_said("SSHPRNAMTTYPE")), _number("VALUE")
+    holder = F.concat(F.lit("INV_CIK_"), F.lpad("_cik", 10, "0"))
+    unit, value, amount = F.upper(_said("SSHPRNAMTTYPE")), _number(entries, "VALUE"), _number(entries, "SSHPRNAMT")
     return rows.select(
         F.concat_ws(":", "accession", _said("INFOTABLE_SK")).alias("record"), "accession",
-        _needed(holder, number != "", "CIK").alias("holder_id"), _said("FILINGMANAGER_NAME").alias("manager"),
+        _needed(holder, F.col("_cik") != "", "CIK").alias("holder_id"), F.col("_manager").alias("manager"),
         F.coalesce("_issuer", F.concat(F.lit("ISSUER_UNRESOLVED_CUSIP_"), cusip)).alias("issuer_id"),
         F.when(F.col("_issuer").isNull(), "UNRESOLVED").otherwise("PASS").alias("identity"), F.concat(F.lit("CUSIP:"), cusip).alias("security_id"),
-        _said("TITLEOFCLASS").alias("security_class"), _day("PERIODOFREPORT").alias("as_of"), _day("FILING_DATE").alias("filed"),
-        F.when(unit == "SH", _number("SSHPRNAMT")).alias("shares"), F.when(unit == "PRN", _number("SSHPRNAMT")).alias("principal"), value.alias("value"),
-        F.round(value / F.nullif("_total", F.lit(0.0)) * 100, 6).alias("percent_of_filing"), kind.alias("amendment"), F.when(amended, raw).otherwise("ORIGINAL").alias("amendment_type"),
+        _said("TITLEOFCLASS").alias("security_class"), _day("_as_of", "PERIODOFREPORT").alias("as_of"), _day("_filed", "FILING_DATE").alias("filed"),
+        F.when(unit == "SH", amount).alias("shares"), F.when(unit == "PRN", amount).alias("principal"), value.alias("value"),
+        F.round(value / F.nullif("_total", F.lit(0.0)) * 100, 6).alias("percent_of_filing"), F.col("_kind").alias("amendment"), F.col("_type").alias("amendment_type"),
         _said("PUTCALL").alias("put_call"), _said("INVESTMENTDISCRETION").alias("discretion"), _said("OTHERMANAGER").alias("other_manager"),
     )
 

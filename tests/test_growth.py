@@ -40,3 +40,11 @@ def test_records_meet_in_their_blocks_and_pairs_are_not_shuffled(spark):
         assert plan.index("SortMergeJoin") < plan.index("own_a") and "Exchange hashpartitioning(a#" not in plan.split("Union")[1].split("SortMergeJoin")[0]
         want = {(r.a, r.b) for r in resolution.pairs(df, limit).collect()}
         assert sorted((r.a, r.b) for r in found.collect()) == sorted(want)
+
+
+def test_restated_reads_its_rows_once_and_never_joins_them(spark):
+    rows = [("a", 1, "r1"), ("a", 2, "r2"), ("a", 2, "r3"), ("a", 3, "r4"), ("b", 1, "r5"), ("b", 4, "r6"), (None, 1, "r7"), (None, 2, "r8"), ("a", None, "r9")]
+    df = spark.createDataFrame(rows, "k string, d int, r string").withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
+    found = linkage.restated(df, ["k"], "day", "r")
+    assert "Join" not in _plan(found)
+    assert {x.r: x.restates for x in found.collect()} == {"r1": None, "r2": "r1", "r3": "r1", "r4": None, "r5": None, "r6": "r5", "r7": None, "r8": None, "r9": None}
