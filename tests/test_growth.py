@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import linkage
 from ledgerline.plans import influence, resolution
+from ledgerline.queries import sums
+
+from conftest import SMALL
 
 
 def _plan(df) -> str:
@@ -48,3 +51,12 @@ def test_restated_reads_its_rows_once_and_never_joins_them(spark):
     found = linkage.restated(df, ["k"], "day", "r")
     assert "Join" not in _plan(found)
     assert {x.r: x.restates for x in found.collect()} == {"r1": None, "r2": "r1", "r3": "r1", "r4": None, "r5": None, "r6": "r5", "r7": None, "r8": None, "r9": None}
+
+
+def test_gates_are_dealt_by_lines(spark, monkeypatch):
+    want = [tuple(r) for r in sums.production_gates(spark, SMALL).collect()]
+    monkeypatch.setattr(sums, "_LINES", 500)
+    found = sums.production_gates(spark, SMALL)
+    n = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    assert _plan(found).count(f", {1 + n // 500})") >= 2  # both sides in as many parts
+    assert [tuple(r) for r in found.collect()] == want
