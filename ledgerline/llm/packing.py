@@ -46,6 +46,8 @@ from .tokens import WordIds, coder
 CAPACITY = 2048
 #: Pieces that one level of the search looks at, about.
 PIECES = 100_000
+#: Bytes of text that a worker cuts into words at a time: what it builds beside them is some ten times that.
+SLICE = 1 << 20
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
@@ -65,7 +67,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def run(batches):
         own = coder(WordIds, tokenizer_path)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             row, piece, ids = [], [], []
             found, at = own.ids(batch.column(1))
             for i in range(len(batch)):

@@ -6,6 +6,8 @@ this, each operator met would leave its own store behind.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable
 from typing import Any
 
@@ -19,5 +21,7 @@ def store(key: Any, make: Callable[[], Any]) -> Any:
     if key not in _current:
         _current.clear()
         pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)  # what the tokenizers' own code has freed stays with the process otherwise
         _current[key] = make()
     return _current[key]
