@@ -40,6 +40,23 @@ def test_many_arrivals_of_one_id(spark, tmp_path):
     assert rows == {("hot", 0, "x")} and len(errors) == 30_010
 
 
+def test_arrivals_of_one_batch_in_native_steps(spark, tmp_path):
+    """No row goes through Python, whatever the number of ids; nulls in the order come last."""
+    _drop(spark, tmp_path, [("a", None, "x"), ("a", 2, "y"), ("b", None, "z"), (None, 2, "n2"), (None, 1, "n1")])
+    stream = incremental.events(spark, f"{tmp_path}/in", spark.createDataFrame([], ROWS).schema)
+    plans = []
+
+    def look(batch, number):
+        found = arrivals.judged(batch, ["seq"])
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        commits.exactly_once(f"{tmp_path}/out", "outcome")(found, number)
+
+    incremental.run_available(arrivals.with_new_keys(stream, "id"), f"{tmp_path}/state", look)
+    assert len(plans) == 1 and "Python" not in plans[0] and "Pandas" not in plans[0]
+    rows, errors, _ = _arrived(spark, tmp_path)
+    assert rows == {("a", 2, "y"), ("b", None, "z"), (None, 1, "n1")} and errors == [("a", None, "x"), (None, 2, "n2")]
+
+
 def test_failed_batch_is_neither_lost_nor_doubled(spark, tmp_path):
     folder = str(tmp_path)
     _drop(spark, folder, [("a", 1, "x"), ("b", 2, "y")])
