@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.interim import settled
@@ -312,24 +314,60 @@ def _propagated(front: DataFrame, arcs: DataFrame, start: str, end: str) -> Data
     return found.groupBy("source", "node").agg(F.sum("x").alias("total"))
 
 
-def sampled_betweenness(edges: DataFrame, sources: int = 256, delta: float = 0.05) -> DataFrame:
-    """node, betweenness, error: as ``betweenness``, for graphs of any size, from the shortest paths of some sources.
+#: Sources side by side in a row: an edge is met once a round for all of them, and where few of them reach a node, few columns are idle.
+_SIDE_BY_SIDE = 8
+#: Edges, and rows of sources side by side, for a task.
+_EDGES, _ROWS = 1_000_000, 400_000
 
-    The sources are the nodes that come first by hash, so what they say is an unbiased mean.  With probability 1 - delta
-    all nodes lie within ``error``: a source's part is between 0 and n - 2, so by Hoeffding's bound the mean of k sources is within
-    (n - 2) * sqrt(ln(2 * n / delta) / (2 * k)).  With as many sources as nodes the result is exact and error is 0.
 
-    Distances settle by relaxing edges (a join and a minimum a round), path counts run down the arcs of shortest paths and
-    dependencies up, both as sums by join; tables have a row for each source and node or arc.  Weights are lengths above 0.
+def _heard(e: DataFrame, said: DataFrame, xs: list[str], as_: str) -> DataFrame:
+    """block, node, and a column for each of xs: the sums of what the neighbours of each node say.  The edges stay where they are, partitioned by u."""
+    moved = e.join(said.selectExpr("block", "node AS u", *xs).hint("shuffle_hash"), "u")
+    return moved.groupBy("block", "v").agg(dict.fromkeys(xs, "sum")).selectExpr("block", "v AS node", *[f"`sum({x})` AS {as_}{x}" for x in xs])
+
+
+def _parts_by_hops(e: DataFrame, picked: DataFrame, k: int) -> DataFrame:
+    """node, sum: the dependencies of k sources on the nodes between, where all edges are of one length.
+
+    A level of nodes is found a round, with the paths to each by sum.  Its neighbours lie in the level before, in itself or in the
+    next, so no table of all nodes seen is asked.  Dependencies go back from the last level, an arc once.
     """
-    import math
+    width = min(_SIDE_BY_SIDE, k)
+    xs = [f"x{i}" for i in range(width)]
+    held = " | ".join(f"IF({x} > 0, {1 << i}L, 0L)" for i, x in enumerate(xs))
+    place = picked.select("node", (F.row_number().over(Window.orderBy(F.xxhash64("node"), "node")) - 1).alias("place"))
+    first = place.selectExpr(f"place div {width} AS block", "node", *[f"IF(place % {width} = {i}, 1D, 0D) AS {x}" for i, x in enumerate(xs)])
+    levels = [settled(first.selectExpr("*", f"{held} AS held"), "hops")]
+    while True:
+        before = levels[-1].select("block", "node", "held")
+        if len(levels) > 1:
+            before = before.unionByName(levels[-2].select("block", "node", "held")).groupBy("block", "node").agg(F.bit_or("held").alias("held"))
+        met = _heard(e, levels[-1], xs, "").join(before, ["block", "node"], "left")
+        fresh = [f"IF(coalesce(held, 0L) & {1 << i}L = 0, {x}, 0D) AS {x}" for i, x in enumerate(xs)]
+        new = met.selectExpr("block", "node", *fresh).selectExpr("*", f"{held} AS held").filter("held <> 0")
+        new = settled(new, "hops")
+        if new.isEmpty():
+            break
+        levels.append(new)
+    share = levels[-1].selectExpr("block", "node", *[f"IF({x} > 0, 1 / {x}, 0D) AS {x}" for x in xs])
+    parts = levels[0].selectExpr("node", "0D AS sum")
+    for i, level in enumerate(reversed(levels[1:-1])):
+        # dependency / paths of a node is the sum over what follows it of 1 / paths and of the same again
+        both = level.join(_heard(e, share, xs, "t"), ["block", "node"], "left")
+        own = " + ".join(f"{x} * coalesce(t{x}, 0D)" for x in xs)  # 0 where a source's node is of another level
+        share = settled(both.selectExpr("block", "node", f"{own} AS sum", *[f"IF({x} > 0, 1 / {x} + coalesce(t{x}, 0D), 0D) AS {x}" for x in xs]), "hops")
+        parts = parts.unionByName(share.select("node", "sum"))
+        if i % 20 == 19:
+            parts = settled(parts.groupBy("node").agg(F.sum("sum").alias("sum")), "hops")
+    return parts.groupBy("node").agg(F.sum("sum").alias("sum"))
+
+
+def _parts_by_lengths(e: DataFrame, picked: DataFrame) -> DataFrame:
+    """node, sum: the dependencies of the sources on the nodes between, where edges are of any lengths above 0.
 
-    one = edges.filter("src <> dst").groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.min("weight").cast("double").alias("w"))
-    e = settled(one.select(F.col("a").alias("u"), F.col("b").alias("v"), "w").unionByName(one.select(F.col("b").alias("u"), F.col("a").alias("v"), "w")), "shortest")
-    nodes = settled(e.select(F.col("u").alias("node")).distinct(), "shortest")
-    n = nodes.count()
-    k = min(sources, n)
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(k)
+    Distances settle by relaxing edges (a join and a minimum a round), path counts run down the arcs of shortest paths and
+    dependencies up, both as sums by join; tables have a row for each source and node or arc.
+    """
     known = settled(picked.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("dist")), "shortest")
     front = known
     while True:
@@ -349,7 +387,34 @@ def sampled_betweenness(edges: DataFrame, sources: int = 256, delta: float = 0.0
     paths = settled(paths, "shortest")
     # dependency / paths of a node is the sum over what follows it of 1 / paths and of the same again
     share = _propagated(paths.select("source", "node", (1 / F.col("paths")).alias("x")), arcs, "v", "u")
-    part = share.join(paths, ["source", "node"]).groupBy("node").agg(F.sum(F.col("total") * F.col("paths")).alias("sum"))
+    return share.join(paths, ["source", "node"]).groupBy("node").agg(F.sum(F.col("total") * F.col("paths")).alias("sum"))
+
+
+def sampled_betweenness(edges: DataFrame, sources: int = 256, delta: float = 0.05) -> DataFrame:
+    """node, betweenness, error: as ``betweenness``, for graphs of any size, from the shortest paths of some sources.
+
+    The sources are the nodes that come first by hash, so what they say is an unbiased mean.  With probability 1 - delta
+    all nodes lie within ``error``: a source's part is between 0 and n - 2, so by Hoeffding's bound the mean of k sources is within
+    (n - 2) * sqrt(ln(2 * n / delta) / (2 * k)).  With as many sources as nodes the result is exact and error is 0.
+
+    Weights are lengths above 0.  Where all are the same, sources go side by side, a level of nodes a round; else by distances.
+    Edges are dealt by their start once, in as many parts as there are edges and rows for.
+    """
+    import math
+
+    one = edges.filter("src <> dst").groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.min("weight").cast("double").alias("w"))
+    one = settled(one, "shortest")
+    m, least, most, about = one.agg(F.count("*"), F.min("w"), F.max("w"), F.approx_count_distinct("a") + F.approx_count_distinct("b")).first()
+    blocks = math.ceil(min(sources, about) / _SIDE_BY_SIDE)
+    deal = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * m // _EDGES, about * blocks // _ROWS)
+    e = one.select(F.col("a").alias("u"), F.col("b").alias("v"), "w").unionByName(one.select(F.col("b").alias("u"), F.col("a").alias("v"), "w"))
+    e = e.repartition(deal, "u").persist()
+    nodes = settled(e.select(F.col("u").alias("node")).distinct(), "shortest")
+    n = nodes.count()
+    k = min(sources, n)
+    picked = settled(nodes.orderBy(F.xxhash64("node"), "node").limit(k), "shortest")
+    part = settled(_parts_by_hops(e, picked, k) if n and least == most else _parts_by_lengths(e, picked), "shortest")
+    e.unpersist()
     error = 0.0 if k == n else n * max(n - 2, 0) * math.sqrt(math.log(2 * n / delta) / (2 * k)) / 2
     scaled = F.coalesce(F.col("sum"), F.lit(0.0)) * (n / max(k, 1)) / 2
     return nodes.join(part, "node", "left").select("node", scaled.alias("betweenness"), F.lit(error).alias("error"))

@@ -109,7 +109,7 @@ def betweenness_sampled(spark, sf_dir):
     """Customers and suppliers that stand between others, by the shortest paths of 32 of them, and how far off that may be."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    e = lines.join(o, "l_orderkey").groupBy((-1 - F.col("l_suppkey")).alias("src"), F.col("o_custkey").alias("dst")).agg(F.lit(1.0).alias("weight"))
+    e = lines.join(o, "l_orderkey").select((-1 - F.col("l_suppkey")).alias("src"), F.col("o_custkey").alias("dst"), F.lit(1.0).alias("weight"))
     return graph.sampled_betweenness(e, 32)
 
 

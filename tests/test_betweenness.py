@@ -35,3 +35,17 @@ def test_large_tree_is_within_the_bound(spark):
     # far better than the bound where it matters
     top = sorted(range(n), key=lambda k: -want[k])[:3]
     assert all(abs(got[k].betweenness - want[k]) < 0.25 * want[k] for k in top[:1])
+
+
+def test_equal_lengths_meet_an_edge_once_for_all_sources(spark, monkeypatch):
+    rng = random.Random(5)
+    pairs = [(rng.randrange(50), rng.randrange(50)) for _ in range(130)] + [(a, b) for a in range(100, 110) for b in range(110, 125)] + [(i, i + 1) for i in range(200, 223)]
+    df = spark.createDataFrame([(a, b, 2.5) for a, b in pairs], EDGES)
+    want = {r.node: r.betweenness for r in graph.betweenness(df).collect()}
+    written, settled = [], graph.settled
+    monkeypatch.setattr(graph, "settled", lambda *a: written.append(settled(*a)) or written[-1])
+    got = {r.node: (r.betweenness, r.error) for r in graph.sampled_betweenness(df, 1000).collect()}
+    assert got == {k: (pytest.approx(v, abs=1e-6), 0.0) for k, v in want.items()} and len(want) > 2 * graph._SIDE_BY_SIDE
+    # a row for each edge, or for each node and block of sources, but none for a source and an arc
+    assert max(t.count() for t in written) <= max(len(pairs), len(want) * -(-len(want) // graph._SIDE_BY_SIDE))
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
