@@ -93,6 +93,22 @@ def test_overlap_join_reads_every_part(spark, con):
     assert {(r.project, r.segment) for r in rows.overlap_join(spark, SMALL).collect()} == want
 
 
+def test_overlap_join_is_dealt_to_many_tasks(spark):
+    assert rows.overlap_join(spark, SMALL).select(F.spark_partition_id().alias("task")).distinct().count() > 4
+
+
+def test_overlap_of_copies_in_blocks_is_all_pairs_once(spark):
+    ends = [(0.0, 10.0), (0.0, 10.0), (4.0, 5.0), (9.0, 30.0), (7.0, 3.0), (None, 2.0), (40.0, 41.0)]
+    a = [(r, 100 * k + i, *x) for r in ("R", "Q", None) for k, x in enumerate(ends[:-1]) for i in range(13)]
+    b = [(r, 100 * k + i, *x) for r in ("R", "S", None) for k, x in enumerate(ends) for i in range(11)]
+    left, right = spark.createDataFrame(a, "r string, p int, lo double, hi double"), spark.createDataFrame(b, "r string, s int, slo double, shi double")
+    both = [(x, y) for x in a for y in b if x[0] and x[0] == y[0] and None not in x + y and x[2] <= y[3] and y[2] <= x[3]]
+    want = sorted((x[1], y[1], max(x[2], y[2])) for x, y in both)
+    for block in (1, 4, 20_000):
+        got = joins.overlap(left, right, "r", "lo", "hi", "slo", "shi", 6.0, {"begins": F.greatest("lo", "slo")}, block)
+        assert sorted((x.p, x.s, x.begins) for x in got.collect()) == want and want
+
+
 NAMES = ["ACME", "ACMFF", "ACME CONSTRUCTION GROUP", "CONSTRUCTION GROUP ACME", "BETA SUPPLY CO", "BETA SUPLY CO", "OMEGA", "PRASA", "", "GAMMA TRUST"]
 OTHERS = ["ACME CONSTRUCTION GROUP", "ACMF", "BETA SUPPLY", "GAMMA TRUSTS", "OMEGA", "DELTA"]
 
