@@ -176,3 +176,23 @@ def test_no_entity_holds_two_identifiers(spark):
         for kind, v in rest[-1].items():
             values[got[str(k)], kind].add(v)
     assert all(len(v) == 1 for v in values.values())
+
+
+def _brute(df):
+    keys = sorted((r.record, set(r["keys"])) for r in resolution.keyed(df).collect())
+    return {(a, b) for i, (a, x) in enumerate(keys) for b, y in keys[i + 1 :] if x & y}
+
+
+def test_no_key_is_too_wide(spark, monkeypatch):
+    """All records that share a key meet, however many; a large block is dealt to cells and loses no pair."""
+    rows = [_record(f"GROUP W{k % 7}", {"uei": f"U{k % 3}"} if k % 2 else {}, phone=f"{k % 5}", address=f"{k}") for k in range(230)]
+    rows += [_record("GROUP", address="x", phone=None), _record("LONE", address="y", phone=None), _record("BLOCK", address="y", phone=None)]
+    df = _records(spark, *rows)
+    want = _brute(df)
+    assert len(want) > 230 * 229 / 2
+    for few, side, most in ((1000, 16, 20_000), (10, 3, 60)):
+        monkeypatch.setattr(resolution, "FEW", few)
+        monkeypatch.setattr(resolution, "SIDE", side)
+        monkeypatch.setattr(resolution, "CELL", most)
+        got = [(r.a, r.b) for r in resolution.pairs(df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
