@@ -13,7 +13,7 @@ Only where a caller names a ``limit``, a wide key that more than so many records
 with another wide one; where two together are still wide, records are compared with the first of them only.
 ``wide_keys`` reports such keys.
 
-Merges.  Pairs with an agreeing identifier and a score in the top band merge.  A merged group that holds two values of
+Merges.  A merge needs an agreeing identifier, so only records that share one are compared for it (``merging``).  Pairs with an agreeing identifier and a score in the top band merge.  A merged group that holds two values of
 one kind of identifier is wrong somewhere: the pairs of its records that lack that identifier, over which such
 groups hang together, are taken out, kind by kind, and go to review.
 """
@@ -83,12 +83,12 @@ def _crowded(each: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     return blocks, crowd.join(crowd.groupBy("block").agg(F.min("record").alias("first")), "block")
 
 
-def _met(records: DataFrame, fields: list[str], limit: int | None) -> DataFrame:
-    """a, b, _a, _b: the pairs to compare, each once and either way round, with the fields of both records.
+def _met(records: DataFrame, fields: list[str], limit: int | None, keys: DataFrame | None = None) -> DataFrame:
+    """a, b, _a, _b: the pairs to compare, each once and either way round, with the fields of both records; keys: record, keys, else those of ``keyed``.
 
     A record goes to each cell of its blocks once, with its fields; pairs are made there and never shuffled.
     """
-    each = _ranked(settled(keyed(records).select("record", F.explode("keys").alias("key")), "keys"))
+    each = _ranked(settled((keyed(records) if keys is None else keys).select("record", F.explode("keys").alias("key")), "keys"))
     blocks, crowd = (each.select("record", "block"), None) if limit is None else _crowded(each, limit)
     own = settled(blocks.groupBy("record").agg(F.array_sort(F.collect_list("block")).alias("own")), "blocks")  # of one record
     # the pairs of a block are all made in another one where all of its records have that as their first
@@ -185,6 +185,13 @@ def decisions(records: DataFrame, limit: int | None = None) -> DataFrame:
     return _in_order(_decided(_met(_ready(records), FIELDS, limit)))
 
 
+def merging(records: DataFrame) -> DataFrame:
+    """a, b: the pairs of ``decisions`` that merge.  None does without a shared identifier, so only records that share one are compared."""
+    ready = _ready(settled(records, "records"))
+    found = _decided(_met(ready, FIELDS, None, ready.select("record", F.array_distinct("_ids").alias("keys"))))
+    return _in_order(found.filter("shares_id AND NOT disagrees AND decision = 'auto_merge'").select("a", "b", "decision"))
+
+
 def merged(records: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(record, entity) and (a, b, kind): what each record is merged into (the smallest record), and the merges held back.
 

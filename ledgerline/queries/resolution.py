@@ -81,4 +81,4 @@ def entity_decisions(spark, sf_dir):
 def entity_merges(spark, sf_dir):
     """What each record is merged into; no entity holds two values of one identifier."""
     records = _records(spark, sf_dir)
-    return resolution.merged(records, resolution.decisions(records))[0]
+    return resolution.merged(records, resolution.merging(records))[0]

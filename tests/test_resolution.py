@@ -196,3 +196,10 @@ def test_no_key_is_too_wide(spark, monkeypatch):
         monkeypatch.setattr(resolution, "CELL", most)
         got = [(r.a, r.b) for r in resolution.pairs(df).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_merging_is_what_decisions_merge(spark):
+    """Over 200 records of one identifier: all pairs that merge are found, though only records of one identifier meet."""
+    df = _records(spark, *[_record(f"ACME W{k % 3}", {"uei": "U1"} | ({"ein": f"E{k % 2}"} if k % 5 == 0 else {}), phone=f"{k % 4}", address=f"ST {k % 6}") for k in range(210)], _record("ACME W1", {}))
+    want = {(r.a, r.b) for r in resolution.decisions(df).filter("decision = 'auto_merge'").collect()}
+    assert want == {(r.a, r.b) for r in resolution.merging(df).collect()} and len(want) > 5000
