@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.interim import settled
+from ..sources.interim import freed, settled
 
 
 def node_metrics(edges: DataFrame) -> DataFrame:
@@ -346,6 +346,7 @@ def _parts_by_hops(e: DataFrame, picked: DataFrame, k: int) -> DataFrame:
         fresh = [f"IF(coalesce(held, 0L) & {1 << i}L = 0, {x}, 0D) AS {x}" for i, x in enumerate(xs)]
         new = met.selectExpr("block", "node", *fresh).selectExpr("*", f"{held} AS held").filter("held <> 0")
         new = settled(new, "hops")
+        freed(e.sparkSession)
         if new.isEmpty():
             break
         levels.append(new)
@@ -404,16 +405,19 @@ def sampled_betweenness(edges: DataFrame, sources: int = 256, delta: float = 0.0
 
     one = edges.filter("src <> dst").groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.min("weight").cast("double").alias("w"))
     one = settled(one, "shortest")
+    freed(edges.sparkSession)
     m, least, most, about = one.agg(F.count("*"), F.min("w"), F.max("w"), F.approx_count_distinct("a") + F.approx_count_distinct("b")).first()
     blocks = math.ceil(min(sources, about) / _SIDE_BY_SIDE)
     deal = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * m // _EDGES, about * blocks // _ROWS)
     e = one.select(F.col("a").alias("u"), F.col("b").alias("v"), "w").unionByName(one.select(F.col("b").alias("u"), F.col("a").alias("v"), "w"))
-    e = e.repartition(deal, "u").persist()
+    level = m > 0 and least == most
+    # where lengths are equal they are left out, and sorted starts are kept as runs
+    e = (e.select("u", "v") if level else e).repartition(deal, "u").sortWithinPartitions("u").persist()
     nodes = settled(e.select(F.col("u").alias("node")).distinct(), "shortest")
     n = nodes.count()
     k = min(sources, n)
     picked = settled(nodes.orderBy(F.xxhash64("node"), "node").limit(k), "shortest")
-    part = settled(_parts_by_hops(e, picked, k) if n and least == most else _parts_by_lengths(e, picked), "shortest")
+    part = settled(_parts_by_hops(e, picked, k) if level else _parts_by_lengths(e, picked), "shortest")
     e.unpersist()
     error = 0.0 if k == n else n * max(n - 2, 0) * math.sqrt(math.log(2 * n / delta) / (2 * k)) / 2
     scaled = F.coalesce(F.col("sum"), F.lit(0.0)) * (n / max(k, 1)) / 2

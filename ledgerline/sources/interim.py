@@ -40,6 +40,11 @@ def settled(df: DataFrame, name: str = "interim") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession) -> None:
+    """Shuffle files of what is written down by now go when the driver finds their plans gone: it is asked to look."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @atexit.register
 def _clear() -> None:
     for spark, path in _written:

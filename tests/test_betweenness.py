@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import graph
 
@@ -49,3 +50,14 @@ def test_equal_lengths_meet_an_edge_once_for_all_sources(spark, monkeypatch):
     # a row for each edge, or for each node and block of sources, but none for a source and an arc
     assert max(t.count() for t in written) <= max(len(pairs), len(want) * -(-len(want) // graph._SIDE_BY_SIDE))
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_equal_lengths_are_not_kept_with_the_edges(spark, monkeypatch):
+    """What is held for all rounds is the two ends of an edge, its starts as runs."""
+    held, by_hops = [], graph._parts_by_hops
+    monkeypatch.setattr(graph, "_parts_by_hops", lambda e, *a: held.append((e.columns, e.groupBy(F.spark_partition_id()).agg(F.collect_list("u").alias("us")).collect())) or by_hops(e, *a))
+    df = spark.createDataFrame([(k % 50, 100 + k % 37, 1.0) for k in range(300)], EDGES)
+    want = {r.node: r.betweenness for r in graph.betweenness(df).collect()}
+    assert {r.node: r.betweenness for r in graph.sampled_betweenness(df, 1000).collect()} == {k: pytest.approx(v, abs=1e-6) for k, v in want.items()}
+    columns, parts = held[0]
+    assert columns == ["u", "v"] and all(list(r.us) == sorted(r.us) for r in parts)
